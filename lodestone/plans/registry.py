@@ -1,4 +1,5 @@
 """Queries by name with their SQL."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from .queries import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
