@@ -30,6 +30,14 @@ class Job:
     as_of: str | None = None
     scraped_at: str | None = None
     top: int = c.TOP
+    folder: str | None = None
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        """What is costly to make, once: written to ``folder`` (shared by all executors) or else cached."""
+        if not self.folder:
+            return df.cache()
+        df.write.mode("overwrite").parquet(f"{self.folder}/{name}")
+        return df.sparkSession.read.schema(df.schema).parquet(f"{self.folder}/{name}")
 
 
 def discover(job: Job, seeds: DataFrame) -> DataFrame:
@@ -55,14 +63,14 @@ def run(job: Job, raw_seeds: DataFrame) -> DataFrame:
     """One record for each distinct raw seed: raw, seed, error and the nested columns (null where there is an error)."""
     seeds = web.seeds(raw_seeds)
     valid = seeds.where(F.col("error").isNull()).dropDuplicates(["url"])
-    wanted = discover(job, valid)
+    wanted = job.keep(discover(job, valid), "wanted")
     got = fetch.in_order(wanted, job.pages.fetch(wanted)).where(fetch.rejection().isNull())
-    pages = context.classify_pages(got).select(
+    pages = job.keep(context.classify_pages(got).select(
         "seed", F.col("rank").alias("pos"), "url", "status_code", html.title("html").alias("page_title"), "is_admissions", "is_tuition",
-        html.markdown("html").alias("markdown"))
+        html.markdown("html").alias("markdown")), "pages")
     asked = extract.prompts(pages)
     alive = pages.select("seed").distinct()
-    values = extract.results(asked, job.model.extract(asked), alive)
+    values = extract.results(asked, job.keep(job.model.extract(asked), "responses"), alive)
     at = F.lit(job.scraped_at) if job.scraped_at else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
     meta = pages.groupBy("seed").agg(F.array_sort(F.collect_list(F.struct(
         "pos", F.struct("url", "page_title", at.alias("scraped_at"), F.col("status_code").cast("string").alias("status_code")).alias("m")))).alias("m"))
