@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-import zipfile
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship
+
 #: Upper bounds of one Arrow batch sent to a Python worker; a batch holds at least one row.
 BATCH_ROWS = 1024
 BATCH_BYTES = 16 << 20
@@ -71,14 +71,7 @@ def bounded_batches(spark: SparkSession) -> None:
     Bounds Arrow batches by rows and bytes, so that very long texts do not fill a worker's memory, and sends this
     package to the executors, once for each application.
     """
-    app = spark.sparkContext.applicationId
-    if app not in _own_dir:
-        home = Path(__file__).resolve().parents[1]
-        _own_dir[app] = f"{tempfile.mkdtemp(prefix='lodestone-')}/{home.name}.zip"
-        with zipfile.ZipFile(_own_dir[app], "w") as z:
-            for p in sorted(home.rglob("*.py")):
-                z.write(p, p.relative_to(home.parent))
-        spark.sparkContext.addPyFile(_own_dir[app])
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 

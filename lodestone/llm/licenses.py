@@ -169,7 +169,8 @@ def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round(F.max("score"), 6).alias("score"),
     )
     none = {"n_licensed": 0, "n_unknown": 0, "n_confirmed": 0, "families": "", "score": 0.0}
-    return docs.select("doc_id").join(found, "doc_id", "left").fillna(none)
+    found = found.withColumnRenamed("doc_id", "__id")
+    return docs.select("doc_id").join(found, F.col("doc_id").eqNullSafe(F.col("__id")), "left").drop("__id").fillna(none)
 
 
 def brute(text: str | None) -> list[tuple[int, str, float, bool]]:

@@ -268,21 +268,24 @@ def components(
     """(id, fp, component): the smallest id reachable over links, itself included.
 
     Null and empty texts share fingerprint zero and so one component, whatever else links to it.  Repeated rows give
-    repeated results.  Ids must be longs that are not null.  Empty tables give empty results; other columns are not read.
+    repeated results.  Ids are longs; a null id comes after all
+    others, and a component of null ids alone is null.  Empty tables give empty results; other columns are not read.
     """
     store = Durable(docs.sparkSession, "simhash")
     every = store.write(fingerprints(docs, id_col, text_col, size))
-    reps = store.write(every.groupBy("fp").agg(F.min("id").alias("rep")))
+    last = (1 << 63) - 1
+    reps = store.write(every.groupBy("fp").agg(F.min(F.coalesce("id", F.lit(last))).alias("rep")))
     small = smallest_reachable(near_links(reps, radius, cell)).select(F.col("id").alias("rep"), "component")
     named = reps.join(small, "rep", "left").select("fp", F.coalesce("component", "rep").alias("component"))
-    return every.join(named, "fp").select("id", "fp", "component")
+    component = F.when(F.col("component") != last, F.col("component")).alias("component")
+    return every.join(named, "fp").select("id", "fp", component)
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """One row of each component, that of its smallest id, with all columns; of repeated rows of that id one stays."""
     found = Durable(docs.sparkSession, "near").write(components(docs, id_col, text_col, **how))
-    keep = found.where("id = component").groupBy("id").agg(F.count("*").alias("n")).select(F.col("id").alias("__keep"), "n")
-    rows = docs.join(keep.select("__keep"), F.col(id_col) == F.col("__keep"), "left_semi")
+    keep = found.where("id <=> component").groupBy("id").agg(F.count("*").alias("n")).select(F.col("id").alias("__keep"), "n")
+    rows = docs.join(keep.select("__keep"), F.col(id_col).eqNullSafe(F.col("__keep")), "left_semi")
     return rows.dropDuplicates([id_col]) if keep.where("n > 1").limit(1).count() else rows
 
 
