@@ -235,13 +235,16 @@ def brute(text: str | None, items: list[tuple[str, str]]) -> tuple[int, int, lis
     low = lambda t: "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")
     cut = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low(t))
     words, hit, found = cut(text), set(), set()
+    windows: dict[tuple, set] = {}
     for name, t in items:
         own = cut(t)
         k = min(WINDOW, len(own))
         for i in range(len(own) - k + 1 if own else 0):
-            for j in range(len(words) - k + 1):
-                if words[j : j + k] == own[i : i + k]:
-                    hit.update(range(j, j + k))
-                    found.add(str(name))
+            windows.setdefault(tuple(own[i : i + k]), set()).add(str(name))
+    for k in {len(w) for w in windows}:
+        for j in range(len(words) - k + 1):
+            if names := windows.get(tuple(words[j : j + k])):
+                hit.update(range(j, j + k))
+                found |= names
     names = sorted(found)
     return len(words), len(hit), names, hashlib.sha256(",".join(names).encode()).hexdigest()
