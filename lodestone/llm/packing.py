@@ -19,6 +19,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import Durable, bounded_batches, one_column, table
@@ -26,11 +27,12 @@ from .common import Durable, bounded_batches, one_column, table
 CAPACITY, EOS, VOCABULARY = 4096, 1, "word_bpe_49k.json"
 #: Rounds of multiplicative weights, and the share of a length's remainder that one round may use.
 ROUNDS, STEP = 160, 0.5
-#: Ranks within a length are counted in so many parts.
-SALT = 64
+#: Pieces of one length are ranked in parts of about so many.
+PART = 100_000
 #: Words whose ids a worker remembers, about 200 bytes each.
 REMEMBERED = 1_500_000
 #: Texts within these blocks of characters are lower-cased here, as the vocabulary's own rule does it.
+_TAIL = ",.!?;:*#$%&"
 _PLAIN = re.compile("[^\x00-\u012f\u0131-\u024f]")
 
 
@@ -63,11 +65,21 @@ class Tokens:
                 words = (t if _PLAIN.search(t) else t.lower()).replace("\n", " ").split(" ")
             split.append(words)
             new.update(words)
-        missing = [w for w in new if w not in known]
-        if len(known) + len(missing) > REMEMBERED:
+        if len(known) + 2 * len(new) > REMEMBERED:
             known.clear()
-            missing = list(new)
+        missing, tailed = set(), []
+        for w in new:
+            if w not in known:
+                core = w.rstrip(_TAIL)
+                if core is not w and core != w and core.isalpha():  # letters and signs are never in one token
+                    tailed.append((w, core, w[len(core) :]))
+                    missing.update(x for x in tailed[-1][1:] if x not in known)
+                else:
+                    missing.add(w)
+        missing = list(missing)
         known.update(zip(missing, self._ids(missing)))
+        for w, core, tail in tailed:
+            known[w] = known[core] + known[tail]
         return [b"".join(map(known.__getitem__, words)) + self.end for words in split]
 
 
@@ -269,27 +281,27 @@ def pack(
     """One row per piece: id, piece, start, length, crc, sequence_id, offset.
 
     A null or empty text is its end id alone.  Repeated rows are packed each on its own.  A length that many pieces
-    share is ranked in ``SALT`` parts.  An empty table gives an empty result; other columns are not read.
+    share is ranked in parts.  An empty table gives an empty result; other columns are not read.
     """
     spark = docs.sparkSession
     store = Durable(spark, "pieces")
     cut = store.write(
         pieces(docs, id_col, text_col, path, capacity, eos).withColumn("row", F.monotonically_increasing_id())
     )
-    part = (F.xxhash64("row") % SALT).alias("part")
-    counts = cut.groupBy("length", part).count().collect()  # at most CAPACITY * 2 * SALT small rows
-    histogram: dict[int, int] = {}
-    first = []
-    for length, p, n in sorted(counts):
-        first.append((length, p, histogram.get(length, 0)))
-        histogram[length] = histogram.get(length, 0) + n
+    histogram = dict(cut.groupBy("length").count().collect())  # at most CAPACITY rows
+    parts = np.ones(capacity + 1, np.int64)
+    for length, n in histogram.items():
+        parts[length] = -(-n // PART)
+    many = F.get(F.array(*[F.lit(int(x)) for x in parts]), F.col("length").cast("int")) if parts.max() > 1 else F.lit(1)
+    cut = cut.withColumn("part", F.pmod(F.xxhash64("row"), many))
+    first, before = [], dict.fromkeys(histogram, 0)
+    for length, p, n in sorted(cut.groupBy("length", "part").count().collect()):  # a row for each PART pieces, or length
+        first.append((length, p, before[length]))
+        before[length] += n
     plan = plan_packing(histogram, capacity)
     base = spark.createDataFrame(first, "length long, part long, base long")
-    from pyspark.sql import Window as W
-
     ranked = (
-        cut.withColumn("part", part)
-        .withColumn("nth", F.row_number().over(W.partitionBy("length", "part").orderBy("row")))
+        cut.withColumn("nth", F.row_number().over(W.partitionBy("length", "part").orderBy("row")))
         .join(F.broadcast(base), ["length", "part"])
         .withColumn("rank", F.col("base") + F.col("nth") - 1)
     )
