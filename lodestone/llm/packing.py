@@ -189,8 +189,9 @@ def plan_packing(histogram: dict[int, int], capacity: int = CAPACITY, rounds: in
         live = np.flatnonzero(left)
         if not len(live):
             break
-        # prices: the size of a length, raised for those of which more is left than of others
-        price = lengths[live] * np.exp(0.05 * (left[live] / start[live]) + lag[live])
+        # prices: a little more than in proportion to the size, as large pieces are hard to place; raised for those
+        # of which more is left than of others
+        price = (lengths[live] / capacity) ** 1.15 * np.exp(0.05 * (left[live] / start[live]) + lag[live])
         best, last = knapsack(lengths[live], price, capacity)
         taken = np.zeros(len(live), bool)
         for c in range(capacity, 0, -1):  # one pricing serves all the disjoint configurations on its best paths
