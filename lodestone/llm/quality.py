@@ -96,7 +96,7 @@ def _dictionary(texts: list[bytes]) -> bytes:
     for t in texts:
         for b in blocks(t):
             if size < TRAINING and b:
-                parts.append(b[:2048])
+                parts.append(b)
                 size += len(parts[-1])
     try:
         return zstd.train_dictionary(DICTIONARY, parts, level=LEVEL).as_bytes()
