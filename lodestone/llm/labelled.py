@@ -34,19 +34,34 @@ def with_labels(docs: DataFrame, sample: DataFrame, id_col: str, text_col: str)
     return kept.join(F.broadcast(sample), F.col("id") == F.col("__id")).select("id", "text", "y")
 
 
-def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, l2: float = 1.0, steps: int = 60) -> np.ndarray:
-    """Newton steps for a dense weighted logistic regression; the last coefficient is the intercept."""
+def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, l2: float = 1.0, steps: int = 100) -> np.ndarray:
+    """Newton steps for a dense weighted logistic regression; the last coefficient is the intercept.
+
+    A step is halved until the loss falls enough: whole steps run away where the classes are nearly separable.
+    """
     x = np.c_[x, np.ones(len(x))]
-    w = np.zeros(x.shape[1])
-    ridge = np.full(len(w), l2)
+    ridge = np.full(x.shape[1], l2)
     ridge[-1] = 1e-6
+
+    def loss(w):
+        z = x @ w
+        return float((weight * (np.logaddexp(0, z) - y * z)).sum() + 0.5 * (ridge * w * w).sum())
+
+    w = np.zeros(x.shape[1])
+    now = loss(w)
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -500, 500)))
         grad = x.T @ (weight * (p - y)) + ridge * w
-        hess = (x * (weight * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x + np.diag(ridge)
+        hess = (x * (weight * p * (1 - p))[:, None]).T @ x + np.diag(ridge)
         move = np.linalg.solve(hess, grad)
-        w -= move
-        if np.abs(move).max() < 1e-8:
+        step, slope = 1.0, float(grad @ move)
+        while step > 1e-10 and loss(w - step * move) > now - 1e-4 * step * slope:
+            step /= 2
+        if step <= 1e-10:
+            break
+        w = w - step * move
+        before, now = now, loss(w)
+        if before - now < 1e-10 * max(1.0, before):
             break
     return w
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lodestone.llm import decontaminate, exact_dedup, extraction, language, licenses, packing, quality, secrets, simhash, toxicity
 from lodestone.llm.components import smallest_reachable
 from lodestone.llm.dom import parse, text_of
+from lodestone.llm.labelled import logistic
 from lodestone.llm.registry import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -200,8 +201,31 @@ def accuracy(spark, name, label, least):
     assert j.agg(F.avg((F.col("predicted") == F.col(label)).cast("double"))).first()[0] >= least
 
 
+def recalls(spark, name, label, least):
+    """Of the held-out rows of each class the share that is predicted so."""
+    sf = "/root/testdata/sf0.01"
+    j = QUERIES[name](spark, sf).where("held_out").join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id")
+    for r in j.groupBy(label).agg(F.avg((F.col("predicted") == F.col(label)).cast("double")).alias("right")).collect():
+        assert r.right >= least, r
+
+
 def test_quality_held_out(spark):
     accuracy(spark, "op1_quality", "quality", 0.93)
+    recalls(spark, "op1_quality", "quality", 0.75)
+
+
+def test_calibration_of_separable_classes():
+    """Whole Newton steps ran away here: the fit must end at a point without slope, whatever the scale."""
+    rng = np.random.default_rng(3)
+    for scale in (0.1, 1.0, 30.0):
+        x = scale * np.r_[rng.normal(-3, 1, (300, 5)), rng.normal(3, 1, (300, 5))]
+        y = np.r_[np.zeros(300), np.ones(300)]
+        weight = np.where(y == 1, 1.75, 0.25)
+        w = logistic(x, y, weight, l2=0.01)
+        one = np.c_[x, np.ones(600)]
+        p = 1 / (1 + np.exp(-one @ w))
+        assert np.abs(w).max() < 1e3 and ((p > 0.5) == y).all()
+        assert np.abs(one[:, :5].T @ (weight * (p - y)) + 0.01 * w[:5]).max() < 1e-2 * scale
 
 
 def test_toxicity_held_out(spark):
