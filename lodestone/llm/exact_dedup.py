@@ -74,7 +74,8 @@ def drop_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     """The rows that stay, with all their columns."""
     store = Durable(df.sparkSession, "exact-kept")
     found = store.write(group_copies(df, id_col, F.col(text_col)).select(id_col, "kept", "ties"))
-    keep = found.where("kept").select(F.col(id_col).alias("__keep"), F.col("ties").alias("__ties"))
+    # the narrow side is hashed, so the texts are dealt by id but not sorted
+    keep = found.where("kept").select(F.col(id_col).alias("__keep")).hint("shuffle_hash")
     rows = df.join(keep, F.col(id_col).eqNullSafe(F.col("__keep")), "left_semi")
     # one id on several rows: of rows alike in id and text one stays; ids on different texts are matched by text
     again = found.groupBy(id_col).count().where("count > 1").limit(1).count()

@@ -285,7 +285,8 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """One row of each component, that of its smallest id, with all columns; of repeated rows of that id one stays."""
     found = Durable(docs.sparkSession, "near").write(components(docs, id_col, text_col, **how))
     keep = found.where("id <=> component").groupBy("id").agg(F.count("*").alias("n")).select(F.col("id").alias("__keep"), "n")
-    rows = docs.join(keep.select("__keep"), F.col(id_col).eqNullSafe(F.col("__keep")), "left_semi")
+    # the narrow side is hashed, so the texts are dealt by id but not sorted
+    rows = docs.join(keep.select("__keep").hint("shuffle_hash"), F.col(id_col).eqNullSafe(F.col("__keep")), "left_semi")
     return rows.dropDuplicates([id_col]) if keep.where("n > 1").limit(1).count() else rows
 
 
