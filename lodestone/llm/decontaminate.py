@@ -12,6 +12,7 @@ over the documents for each block, so the broadcast is bounded whatever the size
 from __future__ import annotations
 
 import hashlib
+import itertools
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +25,8 @@ from .words import HashSet, shingles, split_words
 WINDOW, SHINGLE = 10, 3
 #: Words of one block of items; its index takes about 200 bytes a word.
 BLOCK_WORDS = 400_000
+#: Blocks whose indexes a task may hold at once.
+CHAIN = 4
 
 
 class Windows:
@@ -123,7 +126,9 @@ def find_windows(index: Windows, raw: np.ndarray, offsets: np.ndarray):
     return np.diff(first), inside, first, found, n, np.cumsum(hit)[:-1] > 0
 
 
-def _search(index, id_col, column):
+def _search(index, id_col, column, keyed):
+    """Rows of ``match_items``; with ``keyed`` also a digest of the text, which tells rows of one id apart."""
+
     def run(batches):
         names = index.value.names
         for batch in batches:
@@ -132,24 +137,55 @@ def _search(index, id_col, column):
                 words, inside, first, found, n, flags = find_windows(index.value, raw, off[i : j + 1])
                 items = [[names[k] for k in found.get(d, ())] for d in range(n)]
                 spots = [np.flatnonzero(flags[first[d] : first[d + 1]]).tolist() if d in found else [] for d in range(n)]
-                yield pa.RecordBatch.from_arrays(
-                    [one_column(batch, id_col).slice(i, j - i), pa.array(words.astype(np.int64)),
-                     pa.array(spots, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))],
-                    names=[id_col, "n_words", "hit", "items"],
-                )
+                columns = [one_column(batch, id_col).slice(i, j - i), pa.array(words.astype(np.int64)),
+                           pa.array(spots, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))]
+                if keyed:
+                    cuts = off[i : j + 1].tolist()
+                    columns.append(pa.array([hashlib.sha256(raw[x:y]).digest() for x, y in zip(cuts, cuts[1:])], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, names=[id_col, "n_words", "hit", "items", "key"][: len(columns)])
+
+    return run
+
+
+def _clean(index, column):
+    """Passes on the rows whose texts hold no window."""
+
+    def run(batches):
+        for batch in batches:
+            raw, off = text_buffer(one_column(batch, column))
+            keep = np.ones(batch.num_rows, bool)
+            for i, j in slices(off):
+                keep[[i + d for d in find_windows(index.value, raw, off[i : j + 1])[3]]] = False
+            yield batch.filter(pa.array(keep))
 
     return run
 
 
 def _blocks(benchmark: DataFrame, item_col: str, text_col: str, limit: int):
-    block, size = [], 0
+    """Blocks of (name, text); one empty block for an empty benchmark."""
+    block, size, any_yet = [], 0, False
     for name, text in benchmark.select(F.col(item_col).cast("string"), text_col).toLocalIterator():
-        block.append((name, text))
-        size += len(text or "") // 2 + 1
         if size >= limit:
             yield block
-            block, size = [], 0
-    yield block
+            block, size, any_yet = [], 0, True
+        block.append((name, text))
+        size += len(text or "") // 2 + 1
+    if block or not any_yet:
+        yield block
+
+
+def _ready(src: DataFrame, block: list[tuple[str, str]], text_col: str, window: int):
+    """The broadcast index of a block, its prefixes chosen by counts over all documents."""
+    spark = src.sparkSession
+    index = Windows(block, window)
+    sent = spark.sparkContext.broadcast(index)
+    counts = {g: np.zeros(len(index.all[g].values), np.int64) for g in index.sizes}
+    if index.words:
+        seen = src.select(text_col).mapInArrow(_count(sent, text_col), "g int, token long, n long")
+        for g, token, n in seen.groupBy("g", "token").agg(F.sum("n")).collect():  # at most the block's shingles
+            counts[g][token] = n
+    index.rank(counts)
+    return spark.sparkContext.broadcast(index)
 
 
 def match_items(
@@ -159,44 +195,52 @@ def match_items(
     """One row per document: id, n_words, hit (places of the words hit, in order), items (ids found, sorted).
 
     Null and empty texts have no words and hit nothing; items without words match nothing; a window that several
-    items hold counts for each of them.  Repeated document rows give repeated results.  An empty benchmark or an
-    empty documents table is no error.  With several blocks, ids must be unique.
+    items hold counts for each of them.  Repeated document rows give repeated results, and rows of one id with other
+    texts (or of none) results of their own.  An empty benchmark or an empty documents table is no error.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
     src = docs.select(id_col, text_col)
     kind = dict(src.dtypes)[id_col]
-    parts = []
-    for block in _blocks(benchmark, item_col, item_text, block_words):
-        index = Windows(block, window)
-        sent = spark.sparkContext.broadcast(index)
-        counts = {g: np.zeros(len(index.all[g].values), np.int64) for g in index.sizes}
-        if index.words:
-            seen = src.select(text_col).mapInArrow(_count(sent, text_col), "g int, token long, n long")
-            for g, token, n in seen.groupBy("g", "token").agg(F.sum("n")).collect():  # at most the block's shingles
-                counts[g][token] = n
-        index.rank(counts)
-        ready = spark.sparkContext.broadcast(index)
-        parts.append(src.mapInArrow(
-            _search(ready, id_col, text_col), f"{id_col} {kind}, n_words long, hit array<long>, items array<string>"))
-    if len(parts) == 1:
-        return parts[0].withColumn("items", F.array_sort("items"))
+    schema = f"{id_col} {kind}, n_words long, hit array<long>, items array<string>"
+    blocks = _blocks(benchmark, item_col, item_text, block_words)
+    first, second = next(blocks), next(blocks, None)
+    if second is None:
+        only = src.mapInArrow(_search(_ready(src, first, text_col, window), id_col, text_col, False), schema)
+        return only.withColumn("items", F.array_sort("items"))
     store = Durable(spark, "windows")
-    every = store.write(parts[0])
-    for p in parts[1:]:
-        every = every.unionByName(store.write(p.where(F.size("items") > 0)))
-    return every.groupBy(id_col).agg(
-        F.max("n_words").alias("n_words"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("hit")))).alias("hit"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+    search = lambda b: src.mapInArrow(_search(_ready(src, b, text_col, window), id_col, text_col, True), f"{schema}, key binary")
+    every = store.write(search(first))
+    more = None
+    for block in itertools.chain([second], blocks):
+        part = store.write(search(block).where(F.size("items") > 0).drop("n_words").dropDuplicates([id_col, "key"]))
+        more = part if more is None else more.unionByName(part)
+    more = more.groupBy(F.col(id_col).alias("__id"), F.col("key").alias("__key")).agg(  # at most a row for each block
+        F.flatten(F.collect_list("hit")).alias("__hit"), F.flatten(F.collect_list("items")).alias("__items"))
+    whole = lambda own, added: F.array_sort(F.array_distinct(F.concat(own, F.coalesce(added, F.array()))))
+    return every.join(more, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("key") == F.col("__key")), "left").select(
+        id_col, "n_words", whole("hit", "__hit").alias("hit"), whole("items", "__items").alias("items")
     )
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents without a hit, all columns kept; the rejected ids join back by id."""
-    bad = match_items(docs, benchmark, id_col, text_col).where(F.size("items") > 0)
-    bad = Durable(docs.sparkSession, "contaminated").write(bad.select(F.col(id_col).alias("__bad")).distinct())
-    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("__bad")), "left_anti")
+def drop_contaminated(
+    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
+    item_text: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS,
+) -> DataFrame:
+    """The documents without a hit, all columns kept; a row is dropped where it is read, so no text is shuffled.
+
+    Each block of items is a pass over what the passes before it kept; ``CHAIN`` passes run as one, then the rows are
+    written.  Rows are judged one by one: null ids, repeated rows and rows of one id do not touch each other.
+    """
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    store = Durable(spark, "uncontaminated")
+    rest = docs
+    for n, block in enumerate(_blocks(benchmark, item_col, item_text, block_words)):
+        if n and n % CHAIN == 0:
+            rest = store.write(rest)
+        rest = rest.mapInArrow(_clean(_ready(docs, block, text_col, window), text_col), docs.schema)
+    return rest
 
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -79,6 +79,16 @@ def test_decontaminate(spark, odd, none):
     assert decontaminate.match_items(odd, bench.limit(0)).where(F.size("hit") > 0).count() == 0
     assert decontaminate.match_items(odd, bench).count() == len(ODD) and decontaminate.match_items(none, bench).count() == 0
     assert decontaminate.drop_contaminated(odd, bench).columns == odd.columns
+    # one id with several texts, null ids and repeated rows, over one block and over more than a task may hold
+    again = [(1, t) for _, t in texts[:6]] + [(None, t) for _, t in texts[:4]] + texts[:10] + [(2, None), (2, "")]
+    same = frame(spark, [(i, t, None) for i, t in again])
+    want = sorted((str(i), *decontaminate.brute(t, items)[:3]) for i, t in again)
+    clean = sorted((str(i), str(t)) for i, t in again if not decontaminate.brute(t, items)[1])
+    for block in (10**6, 40):
+        found = decontaminate.match_items(same, bench, block_words=block).collect()
+        assert sorted((str(x.doc_id), x.n_words, len(x.hit), x["items"]) for x in found) == want
+        left = decontaminate.drop_contaminated(same, bench, block_words=block).collect()
+        assert sorted((str(x.doc_id), str(x.text)) for x in left) == clean
 
 
 def test_simhash(spark, none):
