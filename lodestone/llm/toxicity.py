@@ -24,7 +24,7 @@ from .labelled import class_counts, sample_labels, sparse_logistic, with_labels
 FIT_PER_CLASS, FEATURES, BUCKETS = 4000, 4096, 1 << 20
 PREFIXES, THRESHOLD = range(3, 8), 0.5
 #: Tokens a worker remembers.
-REMEMBERED = 1_000_000
+REMEMBERED = 250_000
 
 #: Letters a sign may stand for.
 SIGNS = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t"}
