@@ -11,6 +11,8 @@ that its parent does not fix, and drops whole groups as soon as the sum passes t
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -62,8 +64,8 @@ def fingerprint(text: bytes, size: int = SHINGLE) -> int:
     return int(np.packbits(bits, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str, text_col: str, size: int = SHINGLE) -> DataFrame:
-    """(id, fp long) per row; null and empty texts have fingerprint zero."""
+def fingerprints(docs: DataFrame, id_col: str, text_col: str, size: int = SHINGLE, keyed: bool = False) -> DataFrame:
+    """(id, fp long) per row; null and empty texts have fingerprint zero.  ``keyed`` adds the SHA-256 digest of the text."""
     bounded_batches(docs.sparkSession)
 
     def run(batches):
@@ -71,10 +73,13 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, size: int = SHINGL
             raw, off = text_buffer(one_column(batch, text_col))
             data, cuts = raw.tobytes(), off.tolist()
             fps = np.array([fingerprint(data[a:b], size) for a, b in zip(cuts, cuts[1:])], U)
-            yield pa.RecordBatch.from_arrays([one_column(batch, id_col), pa.array(fps.view(np.int64))], names=["id", "fp"])
+            columns = [one_column(batch, id_col), pa.array(fps.view(np.int64))]
+            if keyed:
+                columns.append(pa.array([hashlib.sha256(data[a:b]).digest() for a, b in zip(cuts, cuts[1:])], pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "fp", "digest"][: len(columns)])
 
     kind = dict(docs.select(id_col).dtypes)[id_col]
-    return docs.select(id_col, text_col).mapInArrow(run, f"id {kind}, fp long")
+    return docs.select(id_col, text_col).mapInArrow(run, f"id {kind}, fp long" + ", digest binary" * keyed)
 
 
 # --- the index over the cells of one batch ---
@@ -261,6 +266,18 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
+def _grouped(every: DataFrame, store: Durable, radius: int, cell: int) -> DataFrame:
+    """(fp, node, component) of distinct fingerprints: the smallest fingerprint and the smallest id reachable over links.
+
+    Fingerprints themselves are what is linked, so ids, null or repeated, join nothing; they only name a component.
+    """
+    reps = store.write(every.groupBy("fp").agg(F.min("id").alias("least")))
+    small = smallest_reachable(near_links(reps.select("fp", F.col("fp").alias("rep")), radius, cell))
+    node = F.coalesce("component", "fp").alias("node")
+    nodes = store.write(reps.join(small.withColumnRenamed("id", "fp"), "fp", "left").select("fp", "least", node))
+    return nodes.select("fp", "node").join(nodes.groupBy("node").agg(F.min("least").alias("component")), "node")
+
+
 def components(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, radius: int = RADIUS,
     cell: int = CELL,
@@ -273,21 +290,34 @@ def components(
     """
     store = Durable(docs.sparkSession, "simhash")
     every = store.write(fingerprints(docs, id_col, text_col, size))
-    last = (1 << 63) - 1
-    reps = store.write(every.groupBy("fp").agg(F.min(F.coalesce("id", F.lit(last))).alias("rep")))
-    small = smallest_reachable(near_links(reps, radius, cell)).select(F.col("id").alias("rep"), "component")
-    named = reps.join(small, "rep", "left").select("fp", F.coalesce("component", "rep").alias("component"))
-    component = F.when(F.col("component") != last, F.col("component")).alias("component")
-    return every.join(named, "fp").select("id", "fp", component)
-
-
-def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """One row of each component, that of its smallest id, with all columns; of repeated rows of that id one stays."""
-    found = Durable(docs.sparkSession, "near").write(components(docs, id_col, text_col, **how))
-    keep = found.where("id <=> component").groupBy("id").agg(F.count("*").alias("n")).select(F.col("id").alias("__keep"), "n")
-    # the narrow side is hashed, so the texts are dealt by id but not sorted
-    rows = docs.join(keep.select("__keep").hint("shuffle_hash"), F.col(id_col).eqNullSafe(F.col("__keep")), "left_semi")
-    return rows.dropDuplicates([id_col]) if keep.where("n > 1").limit(1).count() else rows
+    return every.join(_grouped(every, store, radius, cell), "fp").select("id", "fp", "component")
+
+
+def _one_each(docs: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Of the rows of each node of (id, digest, node) the one with the smallest id, null after all others.
+
+    Rows of one id are told apart by their text; of rows alike in both one stays.
+    """
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "digest")).alias("best")
+    keep = found.groupBy("node").agg(first).select(F.col("best.id").alias("__keep"), F.col("best.digest").alias("__digest"))
+    same = F.col(id_col).eqNullSafe(F.col("__keep"))
+    if not found.groupBy("id").count().where("count > 1").limit(1).count():
+        # the narrow side is hashed, so the texts are dealt by id but not sorted
+        return docs.join(keep.select("__keep").hint("shuffle_hash"), same, "left_semi")
+    digest = F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256))
+    rows = docs.withColumn("__d", digest).join(keep, same & (F.col("__d") == F.col("__digest")), "left_semi")
+    return rows.dropDuplicates([id_col, "__d"]).drop("__d")
+
+
+def drop_near_copies(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, radius: int = RADIUS,
+    cell: int = CELL,
+) -> DataFrame:
+    """One row of each component, that of its smallest id, with all columns; of repeated rows one stays."""
+    store = Durable(docs.sparkSession, "near")
+    every = store.write(fingerprints(docs, id_col, text_col, size, keyed=True))
+    found = store.write(every.join(_grouped(every, store, radius, cell), "fp").select("id", "digest", "node"))
+    return _one_each(docs, found, id_col, text_col)
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -117,6 +117,19 @@ def test_simhash_odd(spark, odd):
     assert sum(x.doc_id == 3 for x in simhash.drop_near_copies(odd).collect()) == 1
 
 
+def test_simhash_null_and_repeated_ids(spark):
+    """Ids join nothing: rows without one, and rows of one id, are told apart by their texts."""
+    r = random.Random(8)
+    t = [" ".join(r.choices("ab cd ef gh ij kl mn op".split(), k=80)) for _ in range(8)]
+    rows = [(None, t[0]), (None, t[1]), (None, t[2]), (1, t[1]), (2, t[2]), (3, t[3]), (3, t[4]), (3, t[4]), (None, t[5]), (None, t[5]), (4, t[6])]
+    got = {(x.id, x.fp): x.component for x in simhash.components(frame(spark, [(i, x, None) for i, x in rows])).collect()}
+    assert sorted(map(str, got.values())) == sorted(map(str, [None, 1, 1, 2, 2, 3, 3, None, 4]))
+    for chosen in (rows, rows[:5], [x for x in rows if x[0] is None]):
+        kept = simhash.drop_near_copies(frame(spark, [(i, x, None) for i, x in chosen])).collect()
+        want = {x: min((k for k, y in chosen if y == x and k is not None), default=None) for _, x in chosen}
+        assert sorted((str(x.doc_id), x.text) for x in kept) == sorted((str(k), x) for x, k in want.items())
+
+
 def test_gray_index():
     r = np.random.default_rng(0)
     seeds = r.integers(0, 1 << 63, 20).astype(np.uint64)
