@@ -174,8 +174,8 @@ def _gather(docs: DataFrame, text_col: str) -> np.ndarray:
 
 
 class Model:
-    def __init__(self, language: np.ndarray, weights: dict[int, float], bias: float):
-        self.language, self.weights, self.bias = language, weights, bias
+    def __init__(self, language: np.ndarray, weights: dict[int, float], bias: float, fitted: bool = True):
+        self.language, self.weights, self.bias, self.fitted = language, weights, bias, fitted
         self.chosen = frozenset(weights)
 
     def score(self, active) -> float:
@@ -210,7 +210,7 @@ def fit(
     n = dict(every.groupBy("y").count().collect())
     n0, n1 = n.get(0, 0), n.get(1, 0)
     if not n0 or not n1:
-        return Model(language, {}, 0.0)
+        return Model(language, {}, 0.0, fitted=False)
     # chi-squared of each feature with the label, computed where the counts are
     f = every.select("y", F.explode("f").alias("k")).groupBy("k").agg(
         F.sum("y").cast("double").alias("a"), F.sum(1 - F.col("y")).cast("double").alias("b"))
@@ -262,8 +262,14 @@ def restore(text: str, model: Model) -> str:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that score below the threshold, scored in the same pass that passes their columns through."""
+    """The documents that score below the threshold, scored in the same pass that passes their columns through.
+
+    Where the labelled sample lacks a class (no labels, none toxic, none of these documents), no model can be fitted and
+    nothing is known to be toxic: all documents stay.
+    """
     model = fit(docs, labels, id_col, text_col)
+    if not model.fitted:
+        return docs
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):

@@ -199,6 +199,12 @@ def test_toxicity(spark, docs, labels, odd, none):
     assert {x.score for x in toxicity.score(odd, empty).collect()} == {0.5}
 
 
+def test_toxicity_without_a_class(spark, docs, labels):
+    """Labels that fit no model reject no document."""
+    for few in (labels.limit(0), labels.where("toxic = 0"), labels.withColumn("doc_id", F.col("doc_id") + 10**9)):
+        assert toxicity.drop_toxic(docs, few).count() == docs.count()
+
+
 def test_restore(spark):
     text = "the idiot was stupid and the moron lost the trash " * 40
     raw = np.frombuffer(text.encode(), np.uint8)
