@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lodestone.llm import decontaminate, exact_dedup, extraction, language, licenses, packing, quality, secrets, simhash, toxicity
+from lodestone.llm import decontaminate, exact_dedup, extraction, language, licenses, packing, quality, secrets, similar, simhash, toxicity
 from lodestone.llm.components import smallest_reachable
 from lodestone.llm.dom import parse, text_of
 from lodestone.llm.labelled import logistic
@@ -130,6 +130,28 @@ def test_simhash_null_and_repeated_ids(spark):
         assert sorted((str(x.doc_id), x.text) for x in kept) == sorted((str(k), x) for x, k in want.items())
 
 
+def test_similar(spark, odd, none):
+    """The near-dedup stage keeps what a comparison of all pairs keeps: five words, similarity 0.8."""
+    import corpus_pipeline as p
+
+    r = random.Random(5)
+    base = [" ".join(r.choices("ab cd EF gh ij kl mn op qr st".split(), k=n)) for n in (40, 120, 121, 400)]
+    texts = [(200, None), (201, ""), (202, "one"), (203, "one two"), (204, " \n"), (205, "ONE"), (206, "one two three four five six")]
+    for i in range(160):
+        w = r.choice(base).split(" ")
+        for _ in range(r.choice([0, 1, 1, 2, 4, 8])):
+            w[r.randrange(len(w))] = r.choice(["x", "y", "é"])
+        texts.append((i, " ".join(w)))
+    want = similar.brute(texts)
+    assert want != {c for _, c in simhash.brute(texts).values()}
+    kept = p.drop_near_copies(spark, frame(spark, [(i, t, None) for i, t in texts]), SF)
+    assert {x.doc_id for x in kept.collect()} == want and kept.count() == len(want)
+    assert kept.columns == odd.columns and similar.drop_similar(none).count() == 0
+    assert sorted(str(x.doc_id) for x in similar.drop_similar(odd).collect()) == ["1", "3", "4", "7", "None"]
+    same = frame(spark, [(None, base[0], None), (None, base[1], None), (3, base[2], None), (3, base[3], None), (3, base[3], None), (None, base[3] + " x", None)])
+    assert sorted((str(x.doc_id), x.text) for x in similar.drop_similar(same).collect()) == sorted([("None", base[0]), ("None", base[1]), ("3", base[2]), ("3", base[3])])
+
+
 def test_gray_index():
     r = np.random.default_rng(0)
     seeds = r.integers(0, 1 << 63, 20).astype(np.uint64)
@@ -362,3 +384,21 @@ def test_pipeline(spark):
             items = [tuple(x) for x in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
             assert left == {k for k, t in before if not decontaminate.brute(t, items)[1]}
     assert p.run(spark, SF).count() > 0
+
+
+def test_pipeline_by_similarity(spark):
+    """The middle stages one after the other, each against plain Python; near copies as the stage now defines them."""
+    import corpus_pipeline as p
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    out = docs
+    items = [tuple(x) for x in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    for name, stage in p.STAGES[1:4]:
+        before = [tuple(x) for x in out.select("doc_id", "text").collect()]
+        out = spark.createDataFrame(stage(spark, out, SF).collect(), docs.schema)
+        left = {x.doc_id for x in out.collect()}
+        if name == "simhash_near_dedup":
+            assert left == similar.brute(before) and len(left) < len(before)
+        elif name == "benchmark_decontamination":
+            assert left == {k for k, t in before if not decontaminate.brute(t, items)[1]}
+    assert p.run(spark, SF).count() > 0
