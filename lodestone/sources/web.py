@@ -61,20 +61,23 @@ def sitemap_entries(body) -> Column:
     return F.pandas_udf(_entries, "struct<sitemaps:array<string>,pages:array<string>>")(body)
 
 
-def sitemap_pages(start: DataFrame, files: DataFrame, max_depth: int = 3) -> DataFrame:
+def sitemap_pages(start: DataFrame, files: DataFrame, max_depth: int | None = None) -> DataFrame:
     """(seed, base, url) of sitemaps and (url, status, body) of files -> distinct (seed, base, url) of the site's pages.
 
-    Sitemaps of sitemaps are followed ``max_depth`` levels down, each file once for a seed.
+    Sitemaps of sitemaps are followed until no new one is named (``max_depth`` levels down if given), each file once for a
+    seed, which ends cycles.  Each level is one job; the files are parsed once.
     """
-    read = files.where(F.col("status") == 200).select("url", sitemap_entries("body").alias("e"))
-    front, seen, found = start.select("seed", "base", "url").distinct(), start.select("seed", "url").distinct(), None
-    for _ in range(max_depth + 1):
+    read = files.where(F.col("status") == 200).select("url", sitemap_entries("body").alias("e")).persist()
+    front, seen, found, depth = start.select("seed", "base", "url").distinct(), start.select("seed", "url").distinct(), None, 0
+    while True:
         hit = front.join(read, "url")
         pages = hit.select("seed", "base", F.explode("e.pages").alias("url"))
         found = pages if found is None else found.unionByName(pages)
-        front = hit.select("seed", "base", F.explode("e.sitemaps").alias("url")).distinct().join(seen, ["seed", "url"], "left_anti")
+        front = hit.select("seed", "base", F.explode("e.sitemaps").alias("url")).distinct().join(seen, ["seed", "url"], "left_anti").persist()
+        if depth == max_depth or front.isEmpty():
+            return found.where(F.contains("url", "base")).distinct()
         seen = seen.unionByName(front.select("seed", "url"))
-    return found.where(F.contains("url", "base")).distinct()
+        depth += 1
 
 
 def entries_native(body: Column, kind: str = "url") -> Column:

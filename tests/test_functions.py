@@ -84,6 +84,16 @@ def test_sitemap_depth(spark):
     assert web.sitemap_pages(start, files, 5).count() == 0
 
 
+def test_sitemap_any_depth(spark):
+    """Pages seven files down are found, and a cycle back to the first ends."""
+    index = "<sitemapindex><sitemap><loc>a.edu/{}</loc></sitemap><sitemap><loc>a.edu/0</loc></sitemap></sitemapindex>"
+    rows = [(f"a.edu/{i}", 200, index.format(i + 1)) for i in range(7)] + [("a.edu/7", 200, "<urlset><url><loc>a.edu/deep</loc></url></urlset>")]
+    files = spark.createDataFrame(rows, "url string, status int, body string")
+    start = spark.createDataFrame([("s", "a.edu", "a.edu/0")], "seed string, base string, url string")
+    assert [x.url for x in web.sitemap_pages(start, files).collect()] == ["a.edu/deep"]
+    assert web.sitemap_pages(start, files, 6).count() == 0
+
+
 def test_idempotent(spark):
     for f in (normalize.email, normalize.state, normalize.country, normalize.postal, normalize.fee_type):
         for v in (" Pennsylvania ", "A  b", "usa", "178372005", "X@Y.z "):
