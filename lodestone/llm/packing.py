@@ -1,11 +1,11 @@
-"""Best-fit packing of token sequences through a configuration linear program.
+"""Best-fit packing of token sequences by a greedy approximation of a configuration program.
 
 Documents are tokenized once.  What the driver works on is the histogram of piece lengths (at most ``CAPACITY``
 numbers, whatever the size of the corpus).  A configuration is a multiset of lengths that fits one sequence.  The
-program "fewest configurations that cover the histogram" is solved by multiplicative weights: each round a knapsack
-dynamic program prices the lengths and returns the best configuration, which is then used for a fraction of what is
-left, and lengths that fall behind gain weight.  Fractions are rounded down; what remains is packed by the same
-knapsack with the largest remaining length in it, each step using up a length.  Pieces are matched to the places of
+program "fewest configurations that cover the histogram" is approximated, not solved: each round a knapsack dynamic
+program prices the lengths, and whole copies of the best configurations are committed at once, for a fraction of what
+is left; lengths that fall behind gain a little weight.  There is no fractional solution.  What remains is packed by
+best fit with the largest remaining length in it, each step using up a length.  Pieces are matched to the places of
 their length by a two-level rank, so no length has to meet in one task.
 """
 
