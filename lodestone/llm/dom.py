@@ -18,11 +18,18 @@ CLOSES = {
 #: An end is not looked for beyond these.
 SCOPE = {"li": {"ul", "ol"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "thead": {"table"}, "tbody": {"table"}, "tfoot": {"table"}, "option": {"select"}}
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_ATTR = re.compile(r"(class|id|role|data-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+#: Comments, declarations, tags.  A quoted value may hold ">"; a quote without its partner is an ordinary sign.  What is open at the
+#: end of the page swallows the rest, so no part of the page is looked at for a token again.
+_TOKEN = re.compile(r"<!--(?:[^-]++|-(?!->))*+(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)(?:>|\Z)", re.S)
+_ATTR = re.compile(r"(class|id|role|data-label)\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++))", re.I)
+#: Numbers of so many digits name no character, and are too long to read as one.
+_HUGE = re.compile(r"&#(?:[0-9]{8,}|[xX][0-9a-fA-F]{7,});?")
 _NAME = re.compile(r"[a-z]+")
 
 
+_REGIONS = frozenset(("nav", "header", "footer", "aside", "article", "main", "section", "table", "ul", "ol", "figure", "dialog", "menu"))
+
+
 class Node:
     __slots__ = ("tag", "parent", "names", "label", "silent", "own", "linked", "total", "total_linked", "children", "anc")
 
@@ -32,25 +39,61 @@ class Node:
         self.anc = frozenset()
 
 
-def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
+def unescape(raw: str) -> str:
+    """Text with its character references decoded; numbers beyond all characters are the replacement character."""
+    return html.unescape(_HUGE.sub("\ufffd", raw)) if "&" in raw else raw
+
+
+class _Stack:
+    """Open elements, with the places of each tag, so that the innermost one of some tags is found at once."""
+
+    def __init__(self):
+        self.open: list[tuple[str, int]] = [("html", 0)]  # (tag, its node)
+        self.at: dict[str, list[int]] = {}
+        self.blocks = [0]
+
+    def push(self, tag: str, node: int) -> None:
+        self.at.setdefault(tag, []).append(len(self.open))
+        if tag not in INLINE:
+            self.blocks.append(len(self.open))
+        self.open.append((tag, node))
+
+    def find(self, tags, limit=()) -> int:
+        """Place of the innermost of the tags, 0 if there is none or an element of ``limit`` lies within it."""
+        last = lambda names: max((self.at[t][-1] for t in names if self.at.get(t)), default=0)
+        found = last(tags)
+        return found if found and found > last(limit) else 0
+
+    def cut(self, i: int) -> list[tuple[str, int]]:
+        """Closes the elements from place i on."""
+        gone = self.open[i:]
+        for tag, _ in gone:
+            self.at[tag].pop()
+            if tag not in INLINE:
+                self.blocks.pop()
+        del self.open[i:]
+        return gone
+
+
+def parse(page: str, labelled: bool = False) -> tuple[list[Node], list[tuple[int, str]]]:
     """Block nodes in page order, parents first, and the pieces of text as (node, text).
 
     Inline elements belong to their block unless they carry a name.  Each piece begins a block where its text starts
-    with a line feed; ``br`` counts as white space.
+    with a line feed; ``br`` counts as white space.  Time grows with the length of the page, however it is malformed.
+    ``labelled`` reads data-label, which only pages for training have a meaning for.
     """
     nodes = [Node("html", -1)]
-    stack: list[tuple[str, int]] = [("html", 0)]  # (tag, its node)
+    stack = _Stack()
     pieces: list[tuple[int, str]] = []
     links = 0
     at, n = 0, len(page)
 
     def text(raw: str) -> None:
-        k = stack[-1][1]
+        k = stack.open[-1][1]
         node = nodes[k]
         if node.silent or not raw:
             return
-        if "&" in raw:
-            raw = html.unescape(raw)
+        raw = unescape(raw)
         pieces.append((k, raw))
         size = len(raw.strip())
         node.own += size
@@ -59,21 +102,13 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
 
     def pop(i: int) -> None:
         nonlocal links
-        for tag, k in stack[i:]:
+        for tag, k in stack.cut(i):
             if tag == "a":
                 links -= 1
             if tag not in INLINE and not nodes[k].silent:
                 pieces.append((k, "\n"))
-        del stack[i:]
-
-    def find(tags, limit=()) -> int:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i][0] in tags:
-                return i
-            if stack[i][0] in limit:
-                return 0
-        return 0
 
+    find = stack.find
     while at < n:
         m = _TOKEN.search(page, at)
         if not m:
@@ -86,9 +121,9 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
         tag = m[2].lower()
         if m[1]:
             if tag == "br":
-                pieces.append((stack[-1][1], "\n"))
+                pieces.append((stack.open[-1][1], "\n"))
             elif i := find((tag,), () if tag in INLINE else SCOPE.get(tag, ())):
-                if tag not in INLINE or all(t in INLINE for t, _ in stack[i:]):
+                if tag not in INLINE or stack.blocks[-1] < i:
                     pop(i)
             continue
         if tag not in INLINE and (i := find(("p",), ("table", "button", "article", "section", "div", "body"))) and tag not in CLOSES:
@@ -96,14 +131,14 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
         if tag in CLOSES:
             while i := find(CLOSES[tag], SCOPE.get(tag, ())):
                 pop(i)
-        if tag in ("html", "body") and any(t == tag for t, _ in stack):
+        if tag == "html" or tag == "body" and stack.at.get(tag):
             continue
         names, label = (), None
         if m[3]:
             found = {a[0].lower(): a[1] or a[2] or a[3] for a in _ATTR.findall(m[3])}
             names = tuple(_NAME.findall(" ".join(found.get(x, "") for x in ("class", "id", "role")).lower()))
-            label = found.get("data-label")
-        k = stack[-1][1]
+            label = found.get("data-label") if labelled else None
+        k = stack.open[-1][1]
         if tag not in INLINE:
             pieces.append((k, "\n"))
         elif tag == "br":
@@ -113,21 +148,21 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
         if tag not in INLINE or names or label:
             parent = nodes[k]
             node = Node(tag, k, names, label if label is not None else parent.label, parent.silent or tag in SILENT)
-            node.anc = parent.anc | {parent.tag}
+            node.anc = parent.anc | {parent.tag} if parent.tag in _REGIONS else parent.anc
             parent.children += 1
             nodes.append(node)
             k = len(nodes) - 1
         if m[3].endswith("/") and tag in ("svg", "path"):
             continue
-        stack.append((tag, k))
+        stack.push(tag, k)
         if tag == "a":
             links += 1
         if tag in RAW:
-            end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+            end = re.compile(rf"</{tag}\s*+>", re.I).search(page, at)
             if not nodes[k].silent:
                 text(page[at : end.start() if end else n])
             at = end.end() if end else n
-            pop(len(stack) - 1)
+            pop(len(stack.open) - 1)
     for k in range(len(nodes) - 1, 0, -1):
         x = nodes[k]
         x.total += x.own
@@ -139,7 +174,6 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     return nodes, pieces
 
 
-_REGIONS = frozenset(("nav", "header", "footer", "aside", "article", "main", "section", "table", "ul", "ol", "figure", "dialog", "menu"))
 
 
 def _step(n: int) -> int:
@@ -151,7 +185,7 @@ def features(x: Node) -> list[str]:
     all_share = 4 * x.total_linked // x.total if x.total else 9
     out = [f"tag {x.tag}", f"own {_step(x.own)} {own_share}", f"all {_step(x.total)} {all_share}", f"links {all_share}"]
     out += [f"name {t}" for t in x.names]
-    out += [f"in {t}" for t in x.anc & _REGIONS]
+    out += [f"in {t}" for t in x.anc]
     return out
 
 

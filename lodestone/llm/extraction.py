@@ -175,7 +175,7 @@ def train(n: int = PAGES, seed: int = SEED) -> TreeModel:
     rows, y, names = [], [], {}
     pairs: dict[str, Counter] = {}
     for page in labelled_pages(n, seed):
-        nodes, _ = parse(page)
+        nodes, _ = parse(page, labelled=True)
         for x in nodes[1:]:
             if x.silent or x.label is None:
                 continue
@@ -211,7 +211,11 @@ def main_text(page: str | None, model: TreeModel, least: float = 0.5) -> str:
 
 
 def extract(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
-    """The kept columns, text and n_chars for every row.  Null pages have empty text; repeated rows are repeated."""
+    """The kept columns, text and n_chars for every row.
+
+    Null and empty pages have empty text, an empty table gives an empty result, repeated rows are repeated.  Pages are read whole,
+    in time that grows with their length; labels that a page itself carries mean nothing.  Other columns are not read.
+    """
     bounded_batches(pages.sparkSession)
     source = pages.select(*keep, html_col)
     kinds = dict(source.dtypes)
