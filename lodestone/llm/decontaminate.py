@@ -13,6 +13,8 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import re
+from collections import deque
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +29,8 @@ WINDOW, SHINGLE = 10, 3
 BLOCK_WORDS = 400_000
 #: Blocks whose indexes a task may hold at once.
 CHAIN = 4
+#: Words before lower-casing.
+_WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
 
 class Windows:
@@ -36,9 +40,10 @@ class Windows:
         seen: dict[tuple[bytes, ...], int] = {}
         self.words: list[tuple[bytes, ...]] = []
         self.items: list[list[int]] = []
-        self.names = [name for name, _ in items]
+        names: dict[str, int] = {}  # rows of one name are one item
         grams: list[tuple[int, np.ndarray]] = []
-        for k, (_, text) in enumerate(items):
+        for name, text in items:
+            k = names.setdefault(name, len(names))
             raw = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
             low, s, e, _, h = split_words(raw, np.array([0, len(raw)]))
             if not len(s):
@@ -56,6 +61,8 @@ class Windows:
                     grams.append((g, hashes[i : i + size - g + 1]))
                 if not self.items[w] or self.items[w][-1] != k:
                     self.items[w].append(k)
+        self.items = [list(dict.fromkeys(x)) for x in self.items]
+        self.names = list(names)
         self.grams = grams
         self.sizes = sorted({g for g, _ in grams})
         self.all = {g: HashSet(np.concatenate([x for y, x in grams if y == g])) for g in self.sizes}
@@ -79,24 +86,26 @@ class Windows:
         del self.grams, self.all
 
 
-def _count(index, column):
-    """Partial counts of the index's shingles over one task's documents."""
+def _count(sent, column):
+    """Partial counts of the shingles of several indexes over one task's documents."""
 
     def run(batches):
-        have = {g: np.zeros(len(index.value.all[g].values), np.int64) for g in index.value.sizes}
+        every = sent.value
+        have = [(k, g, np.zeros(len(x.all[g].values), np.int64)) for k, x in enumerate(every) for g in x.sizes]
         for batch in batches:
             raw, off = text_buffer(one_column(batch, column))
             for i, j in slices(off):
                 _, _, _, first, h = split_words(raw, off[i : j + 1])
-                for g, n in have.items():
-                    s = shingles(h, g)
-                    at, rank = index.value.all[g].find(s)
+                made = {g: shingles(h, g) for g in {g for _, g, _ in have}}
+                for k, g, n in have:
+                    at, rank = every[k].all[g].find(made[g])
                     doc_end = first[np.searchsorted(first, at, "right")]
                     n += np.bincount(rank[at + g <= doc_end], minlength=len(n))
-        for g, n in have.items():
+        for k, g, n in have:
             at = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(at), g, np.int32)), pa.array(at), pa.array(n[at])], names=["g", "token", "n"]
+                [pa.array(np.full(len(at), k, np.int32)), pa.array(np.full(len(at), g, np.int32)), pa.array(at), pa.array(n[at])],
+                names=["block", "g", "token", "n"],
             )
 
     return run
@@ -126,19 +135,22 @@ def find_windows(index: Windows, raw: np.ndarray, offsets: np.ndarray):
     return np.diff(first), inside, first, found, n, np.cumsum(hit)[:-1] > 0
 
 
-def _search(index, id_col, column, keyed):
-    """Rows of ``match_items``; with ``keyed`` also a digest of the text, which tells rows of one id apart."""
+def _search(sent, id_col, column, keyed):
+    """Rows of ``match_items`` for a few blocks; with ``keyed`` also a digest of the text, which tells rows of one id apart."""
 
     def run(batches):
-        names = index.value.names
         for batch in batches:
             raw, off = text_buffer(one_column(batch, column))
             for i, j in slices(off):
-                words, inside, first, found, n, flags = find_windows(index.value, raw, off[i : j + 1])
-                items = [[names[k] for k in found.get(d, ())] for d in range(n)]
-                spots = [np.flatnonzero(flags[first[d] : first[d + 1]]).tolist() if d in found else [] for d in range(n)]
+                hit, items = {}, {}
+                for index in sent.value:
+                    words, _, first, found, n, flags = find_windows(index, raw, off[i : j + 1])
+                    for d, own in found.items():
+                        items.setdefault(d, set()).update(index.names[k] for k in own)
+                        hit.setdefault(d, set()).update(np.flatnonzero(flags[first[d] : first[d + 1]]).tolist())
                 columns = [one_column(batch, id_col).slice(i, j - i), pa.array(words.astype(np.int64)),
-                           pa.array(spots, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))]
+                           pa.array([sorted(hit.get(d, ())) for d in range(n)], pa.list_(pa.int64())),
+                           pa.array([list(items.get(d, ())) for d in range(n)], pa.list_(pa.string()))]
                 if keyed:
                     cuts = off[i : j + 1].tolist()
                     columns.append(pa.array([hashlib.sha256(raw[x:y]).digest() for x, y in zip(cuts, cuts[1:])], pa.binary()))
@@ -147,7 +159,7 @@ def _search(index, id_col, column, keyed):
     return run
 
 
-def _clean(index, column):
+def _clean(sent, column):
     """Passes on the rows whose texts hold no window."""
 
     def run(batches):
@@ -155,37 +167,64 @@ def _clean(index, column):
             raw, off = text_buffer(one_column(batch, column))
             keep = np.ones(batch.num_rows, bool)
             for i, j in slices(off):
-                keep[[i + d for d in find_windows(index.value, raw, off[i : j + 1])[3]]] = False
+                for index in sent.value:
+                    keep[[i + d for d in find_windows(index, raw, off[i : j + 1])[3]]] = False
             yield batch.filter(pa.array(keep))
 
     return run
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str, limit: int):
-    """Blocks of (name, text); one empty block for an empty benchmark."""
+def _cuts(text: str | None, limit: int, window: int):
+    """The text, or parts of at most ``limit`` words and a window's overlap, which have the same windows together."""
+    if len(text or "") // 2 < limit:
+        yield text
+        return
+    starts, n, end = deque(), 0, 0
+    for m in _WORD.finditer(text):
+        starts.append(m.start())
+        n += 1
+        end = m.end()
+        if len(starts) == limit + window - 1:
+            yield text[starts[0] : end]
+            for _ in range(limit):
+                starts.popleft()
+    if n < limit + window - 1 or len(starts) >= window:
+        yield text[starts[0] : end] if starts else ""
+
+
+def _blocks(benchmark: DataFrame, item_col: str, text_col: str, limit: int, window: int):
+    """Blocks of (name, text) with about ``limit`` words; one empty block for an empty benchmark."""
     block, size, any_yet = [], 0, False
     for name, text in benchmark.select(F.col(item_col).cast("string"), text_col).toLocalIterator():
-        if size >= limit:
-            yield block
-            block, size, any_yet = [], 0, True
-        block.append((name, text))
-        size += len(text or "") // 2 + 1
+        for part in _cuts(text, limit, window):
+            if size >= limit:
+                yield block
+                block, size, any_yet = [], 0, True
+            block.append((name, part))
+            size += len(part or "") // 2 + 1
     if block or not any_yet:
         yield block
 
 
-def _ready(src: DataFrame, block: list[tuple[str, str]], text_col: str, window: int):
-    """The broadcast index of a block, its prefixes chosen by counts over all documents."""
+def _ready(src: DataFrame, blocks: list[list[tuple[str, str]]], text_col: str, window: int):
+    """The broadcast indexes of a few blocks, their prefixes chosen by counts over all documents, taken in one pass."""
     spark = src.sparkSession
-    index = Windows(block, window)
-    sent = spark.sparkContext.broadcast(index)
-    counts = {g: np.zeros(len(index.all[g].values), np.int64) for g in index.sizes}
-    if index.words:
-        seen = src.select(text_col).mapInArrow(_count(sent, text_col), "g int, token long, n long")
-        for g, token, n in seen.groupBy("g", "token").agg(F.sum("n")).collect():  # at most the block's shingles
-            counts[g][token] = n
-    index.rank(counts)
-    return spark.sparkContext.broadcast(index)
+    every = [Windows(b, window) for b in blocks]
+    sent = spark.sparkContext.broadcast(every)
+    counts = [{g: np.zeros(len(x.all[g].values), np.int64) for g in x.sizes} for x in every]
+    if any(x.words for x in every):
+        seen = src.select(text_col).mapInArrow(_count(sent, text_col), "block int, g int, token long, n long")
+        for k, g, token, n in seen.groupBy("block", "g", "token").agg(F.sum("n")).collect():  # at most the blocks' shingles
+            counts[k][g][token] = n
+    for x, n in zip(every, counts):
+        x.rank(n)
+    return spark.sparkContext.broadcast(every)
+
+
+def _chains(blocks):
+    """Lists of at most ``CHAIN`` blocks."""
+    while some := list(itertools.islice(blocks, CHAIN)):
+        yield some
 
 
 def match_items(
@@ -195,7 +234,8 @@ def match_items(
     """One row per document: id, n_words, hit (places of the words hit, in order), items (ids found, sorted).
 
     Null and empty texts have no words and hit nothing; items without words match nothing; a window that several
-    items hold counts for each of them.  Repeated document rows give repeated results, and rows of one id with other
+    items hold counts for each of them, and rows of one item id are one item.  An item beyond a block is cut into parts with
+    the same windows.  Repeated document rows give repeated results, and rows of one id with other
     texts (or of none) results of their own.  An empty benchmark or an empty documents table is no error.
     """
     spark = docs.sparkSession
@@ -203,8 +243,8 @@ def match_items(
     src = docs.select(id_col, text_col)
     kind = dict(src.dtypes)[id_col]
     schema = f"{id_col} {kind}, n_words long, hit array<long>, items array<string>"
-    blocks = _blocks(benchmark, item_col, item_text, block_words)
-    first, second = next(blocks), next(blocks, None)
+    chains = _chains(_blocks(benchmark, item_col, item_text, block_words, window))
+    first, second = next(chains), next(chains, None)
     if second is None:
         only = src.mapInArrow(_search(_ready(src, first, text_col, window), id_col, text_col, False), schema)
         return only.withColumn("items", F.array_sort("items"))
@@ -212,8 +252,8 @@ def match_items(
     search = lambda b: src.mapInArrow(_search(_ready(src, b, text_col, window), id_col, text_col, True), f"{schema}, key binary")
     every = store.write(search(first))
     more = None
-    for block in itertools.chain([second], blocks):
-        part = store.write(search(block).where(F.size("items") > 0).drop("n_words").dropDuplicates([id_col, "key"]))
+    for some in itertools.chain([second], chains):
+        part = store.write(search(some).where(F.size("items") > 0).drop("n_words").dropDuplicates([id_col, "key"]))
         more = part if more is None else more.unionByName(part)
     more = more.groupBy(F.col(id_col).alias("__id"), F.col("key").alias("__key")).agg(  # at most a row for each block
         F.flatten(F.collect_list("hit")).alias("__hit"), F.flatten(F.collect_list("items")).alias("__items"))
@@ -229,17 +269,18 @@ def drop_contaminated(
 ) -> DataFrame:
     """The documents without a hit, all columns kept; a row is dropped where it is read, so no text is shuffled.
 
-    Each block of items is a pass over what the passes before it kept; ``CHAIN`` passes run as one, then the rows are
-    written.  Rows are judged one by one: null ids, repeated rows and rows of one id do not touch each other.
+    ``CHAIN`` blocks of items are a pass over what the passes before it kept.  Rows are judged one by one: null ids, repeated
+    rows and rows of one id do not touch each other.  Null and empty texts stay; an empty table gives an empty result, an empty
+    benchmark drops nothing.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
     store = Durable(spark, "uncontaminated")
     rest = docs
-    for n, block in enumerate(_blocks(benchmark, item_col, item_text, block_words)):
-        if n and n % CHAIN == 0:
+    for n, some in enumerate(_chains(_blocks(benchmark, item_col, item_text, block_words, window))):
+        if n:
             rest = store.write(rest)
-        rest = rest.mapInArrow(_clean(_ready(docs, block, text_col, window), text_col), docs.schema)
+        rest = rest.mapInArrow(_clean(_ready(docs, some, text_col, window), text_col), docs.schema)
     return rest
 
 
@@ -274,8 +315,6 @@ FROM d LEFT JOIN n USING (doc_id) LEFT JOIN it USING (doc_id)
 
 def brute(text: str | None, items: list[tuple[str, str]]) -> tuple[int, int, list[str], str]:
     """The same by plain search, for tests."""
-    import re
-
     low = lambda t: "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")
     cut = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low(t))
     words, hit, found = cut(text), set(), set()
