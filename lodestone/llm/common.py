@@ -18,6 +18,9 @@ BATCH_BYTES = 16 << 20
 #: Operators work through a batch in slices of about so many bytes (at least one whole text).
 SLICE_BYTES = 1 << 20
 
+#: Tables of at most so many narrow rows (ids, digests) are broadcast.
+FEW = 200_000
+
 _own_dir: dict[str, str] = {}
 
 
@@ -30,6 +33,19 @@ def fold(doc_id: str, k: int) -> Column:
     return F.crc32(F.col(doc_id).cast("string")) % F.lit(k)
 
 
+def few(df: DataFrame, limit: int = FEW) -> bool:
+    """Whether a written table is short enough to be broadcast."""
+    return df.limit(limit + 1).count() <= limit
+
+
+def free_name(df: DataFrame, label: str) -> str:
+    """A column name that the table does not have."""
+    name, taken = f"__{label}", {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as ``spark.checkpoint.dir`` names it.
 

@@ -7,17 +7,28 @@ from pyspark.sql import functions as F
 
 from .common import Durable
 
+#: An id in more than this share of the links is a hub; there are at most twice the inverse of hubs, so they are broadcast.
+HUB = 1 / 512
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    both = edges.union(edges.select("b", "a").toDF("a", "b"))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("k"), F.least("a", "m").alias("m"))
-    return both.join(least, F.col("a") == F.col("k")).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
+def _with_least(edges: DataFrame, total: int) -> DataFrame:
+    """(a, b, m): each link with the least b of its a, in m.  Links of hubs are met where they are read, not in one task."""
+    least = edges.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).select(F.col("a").alias("k"), "m", "n")
+    hubs = least.where(F.col("n") > total * HUB).select(F.col("k").alias("h"), F.col("m").alias("hm"))
+    marked = edges.join(F.broadcast(hubs), F.col("a") == F.col("h"), "left")
+    cold = marked.where("h is null").select("a", "b").join(least.where(F.col("n") <= total * HUB), F.col("a") == F.col("k"))
+    return marked.where("h is not null").select("a", "b", F.col("hm").alias("m")).union(cold.select("a", "b", "m"))
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("k"), "m")
-    near = edges.join(least, F.col("a") == F.col("k")).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return near.union(least.toDF("a", "b"))
+
+def _large_star(edges: DataFrame, total: int) -> DataFrame:
+    both = _with_least(edges.union(edges.select("b", "a").toDF("a", "b")), total)
+    return both.where("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b"))
+
+
+def _small_star(edges: DataFrame, total: int) -> DataFrame:
+    near = _with_least(edges, total)
+    # the link from a to its least comes out once for each task and link; distinct drops the repeats before the shuffle
+    return near.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(near.select("a", F.col("m").alias("b")))
 
 
 def smallest_reachable(edges: DataFrame) -> DataFrame:
@@ -30,7 +41,9 @@ def smallest_reachable(edges: DataFrame) -> DataFrame:
     mark = lambda e: e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
     before = mark(current)
     while before[0]:
-        after = store.write(_small_star(_large_star(current)).where("a <> b").distinct())
+        large = store.write(_large_star(current, before[0]).where("a <> b").distinct())
+        after = store.write(_small_star(large, before[0]).where("a <> b").distinct())
+        store.drop(large)
         store.drop(current)
         current, now = after, mark(after)
         if now == before:

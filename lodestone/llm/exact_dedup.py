@@ -1,96 +1,98 @@
 """Exact deduplication with a heavy-hitter split (DataFrame functions only).
 
-A Misra-Gries summary over the digests names the few that may be frequent.  Those are counted exactly; the
-verified winners are a table of at most ``1 / SUPPORT`` rows, which is broadcast, so rows of hot groups are
-decided where they are read and never meet in one task.  All other digests take an ordinary shuffle.
+A Misra-Gries summary over the digests names the few that may be frequent.  Those are counted exactly, and the ones that
+hold more than the support are a table of at most ``1 / support`` rows, which is broadcast, so rows of hot groups are decided
+where they are read and never meet in one task.  All other digests are counted by partial sums; only those on two or more rows
+are joined back, each to fewer rows than the support, and no group is ever held in memory.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Durable, table
+from .common import Durable, few, free_name, table
 
-#: Digests in more than this share of the rows are certain to be found as frequent; also bounds the broadcast.
-SUPPORT = 1 / 256
+#: Digests in more than this share of the rows are frequent, or those on more than HOT rows where that is less, down to LEAST.
+SUPPORT, HOT, LEAST = 1 / 256, 1 << 20, 1 / 32768
+
+
+def _digest(text: Column) -> Column:
+    return F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)
+
+
+def _groups(df: DataFrame, id_col: str, text: Column, support: float | None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Written tables: (id, rid, digest) of all rows, and (digest, best (id, rid), n) of the hot and of the other repeated texts."""
+    store = Durable(df.sparkSession, "exact")
+    rows = store.write(df.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("rid"), _digest(text).alias("digest")))
+    total = rows.count()
+    support = support or min(SUPPORT, max(LEAST, HOT / max(total, 1)))
+    best = [F.max(F.struct("id", "rid")).alias("best"), F.count("*").alias("n")]
+    frequent = rows.stat.freqItems(["digest"], support).select(F.explode("digest_freqItems").alias("digest"))
+    # counted exactly; partial sums leave few rows for the shuffle
+    winners = store.write(rows.join(F.broadcast(frequent), "digest").groupBy("digest").agg(*best).where(F.col("n") > total * support))
+    cold = rows.join(F.broadcast(winners.select("digest")), "digest", "left_anti").groupBy("digest").agg(*best).where("n > 1")
+    return rows, winners, store.write(cold)
 
 
 def group_copies(
-    df: DataFrame, id_col: str = "doc_id", text: Column | None = None, support: float = SUPPORT
+    df: DataFrame, id_col: str = "doc_id", text: Column | None = None, support: float | None = None
 ) -> DataFrame:
-    """One row per input row: id, keep_id, group_size, kept, text_sha256, ties.
+    """One row per input row: id, keep_id, group_size, kept, text_sha256.
 
     Equal texts form a group (null counts as empty); the row with the largest id stays.  Repeated rows of
-    that id tie: exactly one of them has ``kept`` true, and ``ties`` says how many they are.  A null id is
-    smaller than any other.  An empty table gives an empty result; columns other than id and text are not
-    read, so their names cannot clash.
+    that id tie: exactly one of them has ``kept`` true.  A null id is smaller than any other.  An empty table
+    gives an empty result, very long texts are hashed whole; columns other than id and text are not read, so
+    their names cannot clash.
     """
-    text = F.col("text") if text is None else text
-    store = Durable(df.sparkSession, "exact")
-    rows = store.write(
-        df.select(
-            F.col(id_col).alias("id"),
-            F.monotonically_increasing_id().alias("rid"),
-            F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256).alias("digest"),
-        )
-    )
-    best = F.max(F.struct("id", "rid"))
-    frequent = rows.stat.freqItems(["digest"], support).select(F.explode("digest_freqItems").alias("digest"))
-    # counted exactly; partial sums leave few rows for the shuffle
-    winners = (
-        rows.join(F.broadcast(frequent), "digest")
-        .groupBy("digest")
-        .agg(best.alias("best"), F.count("*").alias("n"))
-    )
-    tied = (
-        rows.alias("r").join(F.broadcast(winners.alias("w")), "digest")
-        .where(F.col("r.id").eqNullSafe(F.col("w.best.id")))
-        .groupBy("digest").agg(F.first("best").alias("best"), F.first("n").alias("n"), F.count("*").alias("ties"))
-    )
-    marked = rows.join(F.broadcast(tied), "digest", "left")
-    hot = marked.where(F.col("n").isNotNull())
-    w = W.partitionBy("key")
-    cold = (
-        marked.where(F.col("n").isNull())
-        .select("id", "rid", F.unhex("digest").alias("key"))
-        .withColumns({"best": best.over(w), "n": F.count("*").over(w)})
-        .withColumn("ties", F.sum(F.col("id").eqNullSafe(F.col("best.id")).cast("long")).over(w))
-        .withColumn("digest", F.lower(F.hex("key")))
-    )
-    columns = ["id", "rid", "digest", "best", "n", "ties"]
-    return hot.select(columns).unionByName(cold.select(columns)).select(
+    rows, winners, cold = _groups(df, id_col, F.col("text") if text is None else text, support)
+    marked = rows.join(F.broadcast(winners), "digest", "left")
+    rest = marked.where("n is null").select("id", "rid", "digest").join(cold, "digest", "left")
+    columns = ["id", "rid", "digest", "best", "n"]
+    every = marked.where("n is not null").select(columns).unionByName(rest.select(columns))
+    single = F.col("n").isNull()
+    return every.select(
         F.col("id").alias(id_col),
-        F.col("best.id").alias("keep_id"),
-        F.col("n").alias("group_size"),
-        (F.col("rid") == F.col("best.rid")).alias("kept"),
+        F.when(single, F.col("id")).otherwise(F.col("best.id")).alias("keep_id"),
+        F.coalesce("n", F.lit(1)).alias("group_size"),
+        (single | (F.col("rid") == F.col("best.rid"))).alias("kept"),
         F.col("digest").alias("text_sha256"),
-        "ties",
     )
 
 
-def drop_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that stay, with all their columns."""
-    store = Durable(df.sparkSession, "exact-kept")
-    found = store.write(group_copies(df, id_col, F.col(text_col)).select(id_col, "kept", "ties"))
-    # the narrow side is hashed, so the texts are dealt by id but not sorted
-    keep = found.where("kept").select(F.col(id_col).alias("__keep")).hint("shuffle_hash")
-    rows = df.join(keep, F.col(id_col).eqNullSafe(F.col("__keep")), "left_semi")
-    # one id on several rows: of rows alike in id and text one stays; ids on different texts are matched by text
-    again = found.groupBy(id_col).count().where("count > 1").limit(1).count()
-    if again:
-        digest = F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256)
-        chosen = store.write(group_copies(df, id_col, F.col(text_col)).where("kept").select(
-            F.col(id_col).alias("__keep"), F.col("text_sha256").alias("__digest")))
-        rows = df.withColumn("__d", digest).join(
-            chosen, F.col(id_col).eqNullSafe(F.col("__keep")) & (F.col("__d") == F.col("__digest")), "left_semi"
-        ).dropDuplicates([id_col, "__d"]).drop("__d")
-    return rows
+def drop_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: float | None = None) -> DataFrame:
+    """The rows that stay, with all their columns: of equal texts the row with the largest id, of repeated rows one.
+
+    Rows are judged by the digest of their text where they are read.  The table of repeated texts is broadcast if it is short;
+    otherwise that of the hot ones is, and the rest of the rows are dealt by digest.  Null texts count as empty, an empty table
+    gives an empty result, and columns may have any names.
+    """
+    rows, winners, cold = _groups(df, id_col, F.col(text_col), support)
+    mark, best, key = free_name(df, "digest"), free_name(df, "best"), free_name(df, "key")
+    same = F.col(id_col).eqNullSafe(F.col(best))
+    named = lambda t: t.select(F.col("digest").alias(key), F.col("best.id").alias(best))
+    src = df.withColumn(mark, _digest(F.col(text_col)))
+    judge = lambda d, t: d.join(t, F.col(mark) == F.col(key), "left").where(F.col(key).isNull() | same)
+    if few(cold):
+        out = judge(src, F.broadcast(named(winners.unionByName(cold)))).select(*df.columns, mark)
+    else:
+        hot = src.join(F.broadcast(named(winners)), F.col(mark) == F.col(key), "left")
+        left = judge(hot.where(F.col(key).isNull()).select(*df.columns, mark), named(cold).hint("shuffle_hash"))
+        out = hot.where(F.col(key).isNotNull() & same).select(*df.columns, mark).unionByName(left.select(*df.columns, mark))
+    # rows alike in id and text: only those that tie meet, after each task has dropped its own repeats
+    again = rows.groupBy("digest", "id").count().where("count > 1")
+    groups = winners.unionByName(cold).select(F.col("digest").alias("key"), F.col("best.id").alias("first"))
+    ties = again.join(groups, (F.col("digest") == F.col("key")) & F.col("id").eqNullSafe(F.col("first")), "left_semi")
+    ties = Durable(df.sparkSession, "exact-ties").write(ties.select(F.col("digest").alias(key)))
+    if not ties.limit(1).count():
+        return out.drop(mark)
+    ties = ties.hint("broadcast" if few(ties) else "shuffle_hash")
+    one = out.join(ties, F.col(mark) == F.col(key), "left_semi").dropDuplicates([mark])
+    return out.join(ties, F.col(mark) == F.col(key), "left_anti").unionByName(one).drop(mark)
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return group_copies(table(spark, sf_dir, "documents")).drop("ties")
+    return group_copies(table(spark, sf_dir, "documents"))
 
 
 SQL = """

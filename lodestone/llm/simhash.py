@@ -19,8 +19,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Durable, bounded_batches, one_column, table, text_buffer
-from .components import smallest_reachable
+from .common import Durable, bounded_batches, few, free_name, one_column, table, text_buffer
+from .components import HUB, smallest_reachable
 
 SEED, SHINGLE, RADIUS = 42, 3, 3
 #: Members of a node.
@@ -294,26 +294,40 @@ def components(
 
 
 def _one_each(docs: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Of the rows of each node of (id, digest, node) the one with the smallest id, null after all others.
+    """Of the rows of each node of (id, digest, node), a written table, the one with the smallest id, null after all others.
 
-    Rows of one id are told apart by their text; of rows alike in both one stays.
+    Rows of one id are told apart by their text; of rows alike in both one stays.  What is dropped is a table of ids (and
+    digests): a short one is broadcast, so no text moves; beyond that both sides are dealt by id.
     """
+    store = Durable(docs.sparkSession, "one-each")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "digest")).alias("best")
-    keep = found.groupBy("node").agg(first).select(F.col("best.id").alias("__keep"), F.col("best.digest").alias("__digest"))
-    same = F.col(id_col).eqNullSafe(F.col("__keep"))
+    groups = store.write(found.groupBy("node").agg(first, F.count("*").alias("n")).where("n > 1"))
+    hot = groups.where(F.col("n") > found.count() * HUB).select(F.col("node").alias("hn"), F.col("best").alias("hb"))
+    marked = found.join(F.broadcast(hot), F.col("node") == F.col("hn"), "left")
+    rest = marked.where("hn is null").select("id", "digest", "node").join(groups.select("node", "best"), "node")
+    every = marked.where("hn is not null").select("id", "digest", F.col("hb").alias("best")).unionByName(rest.select("id", "digest", "best"))
+    stays = F.col("id").eqNullSafe(F.col("best.id")) & (F.col("digest") == F.col("best.digest"))
+    key, mark, own = (free_name(docs, x) for x in ("gone", "digest", "own"))
+    gone = store.write(every.where(~stays).select(F.col("id").alias(key), F.col("digest").alias(mark)).distinct())
+    how = lambda t: t.hint("broadcast" if few(t) else "shuffle_hash")
+    same = F.col(id_col).eqNullSafe(F.col(key))
     if not found.groupBy("id").count().where("count > 1").limit(1).count():
-        # the narrow side is hashed, so the texts are dealt by id but not sorted
-        return docs.join(keep.select("__keep").hint("shuffle_hash"), same, "left_semi")
-    digest = F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256))
-    rows = docs.withColumn("__d", digest).join(keep, same & (F.col("__d") == F.col("__digest")), "left_semi")
-    return rows.dropDuplicates([id_col, "__d"]).drop("__d")
+        return docs.join(how(gone.select(key)), same, "left_anti")
+    alike = store.write(found.groupBy("id", "digest").count().where("count > 1").select(F.col("id").alias(key), F.col("digest").alias(mark)))
+    same &= F.col(own) == F.col(mark)
+    left = docs.withColumn(own, F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256))).join(how(gone), same, "left_anti")
+    one = left.join(how(alike), same, "left_semi").dropDuplicates([id_col, own])
+    return left.join(how(alike), same, "left_anti").unionByName(one).drop(own)
 
 
 def drop_near_copies(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, radius: int = RADIUS,
     cell: int = CELL,
 ) -> DataFrame:
-    """One row of each component, that of its smallest id, with all columns; of repeated rows one stays."""
+    """One row of each component, that of its smallest id, with all columns; of repeated rows one stays.
+
+    Null and empty texts are one component, a null id comes after all others, an empty table gives an empty result.
+    """
     store = Durable(docs.sparkSession, "near")
     every = store.write(fingerprints(docs, id_col, text_col, size, keyed=True))
     found = store.write(every.join(_grouped(every, store, radius, cell), "fp").select("id", "digest", "node"))
