@@ -1,23 +1,26 @@
-"""Best-fit packing of token sequences by a greedy approximation of a configuration program.
-
-Documents are tokenized once.  What the driver works on is the histogram of piece lengths (at most ``CAPACITY``
-numbers, whatever the size of the corpus).  A configuration is a multiset of lengths that fits one sequence.  The
-program "fewest configurations that cover the histogram" is approximated, not solved: each round a knapsack dynamic
-program prices the lengths, and whole copies of the best configurations are committed at once, for a fraction of what
-is left; lengths that fall behind gain a little weight.  There is no fractional solution.  What remains is packed by
-best fit with the largest remaining length in it, each step using up a length.  Pieces are matched to the places of
-their length by a two-level rank, so no length has to meet in one task.
+"""Best-fit packing of token sequences by a configuration linear program.
+
+Documents are tokenized once.  What the driver works on is the histogram of piece lengths (at most ``CAPACITY`` numbers,
+whatever the size of the corpus).  A configuration is a multiset of lengths that fits one sequence.  The program "fewest
+configurations that cover the histogram" is solved approximately by multiplicative weights: in each round every length has a
+share of its pieces to be covered, a knapsack dynamic program prices the configurations by the weights, the best of them are taken
+in fractional amounts, and the weights of lengths that lag behind are raised.  Each pricing also gives a dual bound on the
+number of sequences.  The fractional amounts are rounded, first down, then up as long as pieces are left; what remains is solved
+and rounded again, and the last remainder is packed by best fit with the largest remaining length in it.  Pieces are matched to
+the places of their length by a two-level rank: one within the task that cut them, and one of the tasks.
 """
 
 from __future__ import annotations
 
 import functools
+import math
 import re
 import zlib
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -25,12 +28,13 @@ from pyspark.sql import functions as F
 from .common import Durable, bounded_batches, one_column, table
 
 CAPACITY, EOS, VOCABULARY = 4096, 1, "word_bpe_49k.json"
-#: Rounds of multiplicative weights, and the share of a length's remainder that one round may use.
-ROUNDS, STEP = 160, 0.5
-#: Pieces of one length are ranked in parts of about so many.
-PART = 100_000
+#: Programs solved one after the other on what rounding leaves, rounds of weights in each, and pricings in each round.
+PHASES, ROUNDS, PASSES = 5, 3, 8
+#: First weights are sizes to this power, as large pieces are hard to place; the learning rate; the share of the
+#: best value that a configuration may lack.
+LEAN, RATE, SLACK = 1.15, 0.3, 1 / 512
 #: Words whose ids a worker remembers, about 200 bytes each.
-REMEMBERED = 1_500_000
+REMEMBERED = 400_000
 #: Texts within these blocks of characters are lower-cased here, as the vocabulary's own rule does it.
 _TAIL = ",.!?;:*#$%&"
 _PLAIN = re.compile("[^\x00-\u012f\u0131-\u024f]")
@@ -98,33 +102,40 @@ def default_vocabulary() -> str:
 def pieces(
     docs: DataFrame, id_col: str, text_col: str, path: str | None, capacity: int = CAPACITY, eos: int = EOS
 ) -> DataFrame:
-    """(id, piece, start, length, crc): documents with their end id, cut where they are longer than the capacity."""
+    """(id, piece, start, length, crc, part, nth): documents with their end id, cut where they are longer than the capacity.
+
+    ``part`` numbers the task, ``nth`` the piece among those of its length in the task, from 0.
+    """
     bounded_batches(docs.sparkSession)
 
     def run(batches):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        tokens = _worker_tokens(path or default_vocabulary(), eos)
+        tokens, task = _worker_tokens(path or default_vocabulary(), eos), TaskContext.get().partitionId()
+        seen = [0] * (capacity + 1)
         for batch in batches:
             ids, texts = one_column(batch, id_col), one_column(batch, text_col).to_pylist()
             for i in range(0, len(texts), 64):
-                row, piece, length, crc = [], [], [], []
+                row, piece, length, crc, nth = [], [], [], [], []
                 for k, data in enumerate(tokens.encode([t or "" for t in texts[i : i + 64]])):
                     for p, a in enumerate(range(0, len(data), 4 * capacity)):
                         part = data[a : a + 4 * capacity]
                         row.append(i + k)
                         piece.append(p)
-                        length.append(len(part) // 4)
+                        n = len(part) // 4
+                        length.append(n)
+                        nth.append(seen[n])
+                        seen[n] += 1
                         crc.append(zlib.crc32(part))
                 yield pa.RecordBatch.from_arrays(
                     [ids.take(pa.array(row)), pa.array(piece, pa.int32()), pa.array(np.array(piece, np.int64) * capacity),
-                     pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
-                    names=["id", "piece", "start", "length", "crc"],
+                     pa.array(length, pa.int64()), pa.array(crc, pa.int64()), pa.array(np.full(len(row), task, np.int32)), pa.array(nth, pa.int64())],
+                    names=["id", "piece", "start", "length", "crc", "part", "nth"],
                 )
 
     kind = dict(docs.select(id_col).dtypes)[id_col]
-    return docs.select(id_col, text_col).mapInArrow(run, f"id {kind}, piece int, start long, length long, crc long")
+    return docs.select(id_col, text_col).mapInArrow(run, f"id {kind}, piece int, start long, length long, crc long, part int, nth long")
 
 
 # --- the plan, on the driver, over the histogram ---
@@ -132,10 +143,14 @@ def pieces(
 
 @dataclass
 class Plan:
-    """Places by length: rows (length, first rank, pieces of that length in a sequence, first sequence, offset)."""
+    """Places by length: rows (length, first rank, pieces of that length in a sequence, first sequence, offset).
+
+    ``bound`` is a number of sequences that no packing can do without, from the dual of the program.
+    """
 
     rows: list[tuple[int, int, int, int, int]] = field(default_factory=list)
     sequences: int = 0
+    bound: int = 0
     used: dict[int, int] = field(default_factory=dict)
 
     def add(self, config: dict[int, int], times: int) -> None:
@@ -150,66 +165,101 @@ class Plan:
 
 def knapsack(lengths: np.ndarray, value: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
     """Best value of each capacity with any number of each length, and the length taken last (-1: none)."""
-    best, last = np.zeros(capacity + 1), np.full(capacity + 1, -1)
-    order = np.argsort(lengths)
-    size, v = lengths[order], value[order]
-    fits = np.searchsorted(size, np.arange(capacity + 1), "right")
-    for c in range(1, capacity + 1):
-        best[c], last[c] = best[c - 1], -1
-        if n := fits[c]:
-            w = best[c - size[:n]] + v[:n]
-            k = int(w.argmax())
-            if w[k] > best[c]:
-                best[c], last[c] = w[k], order[k]
+    worth = np.full(capacity + 1, -np.inf)
+    worth[lengths] = value
+    best, last, least = np.zeros(capacity + 1), np.full(capacity + 1, -1), int(lengths.min())
+    for c in range(least, capacity + 1):
+        every = best[c - least :: -1] + worth[least : c + 1]  # with the length ``least`` + k taken last
+        k = int(every.argmax())
+        if every[k] > best[c - 1]:
+            best[c], last[c] = every[k], k + least
+        else:
+            best[c] = best[c - 1]
     return best, last
 
 
-def _walk(lengths: np.ndarray, best: np.ndarray, last: np.ndarray, c: int) -> dict[int, int]:
-    config: dict[int, int] = {}
+def _walk(last: list[int], first: int, capacity: int) -> dict[int, int]:
+    """The best configuration with a piece of length ``first`` in it."""
+    config, c = {first: 1}, capacity - first
     while c > 0:
-        k = int(last[c])
+        k = last[c]
         if k < 0:
             c -= 1
-            continue
-        config[k] = config.get(k, 0) + 1
-        c -= int(lengths[k])
+        else:
+            config[k] = config.get(k, 0) + 1
+            c -= k
     return config
 
 
-def plan_packing(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS, step: float = STEP) -> Plan:
+def covering(histogram: dict[int, int], capacity: int, rounds: int = ROUNDS, passes: int = PASSES) -> tuple[dict[tuple, float], float]:
+    """A fractional solution {configuration: amount} that covers no length beyond its pieces, and a dual bound of the program.
+
+    Prices y are a solution of the dual once they are divided by the value of the best configuration, so the histogram's
+    value under them is a bound, in each round anew.
+    """
+    lengths = np.array(sorted(histogram), np.int64)
+    many = np.zeros(capacity + 1)
+    many[lengths] = [histogram[int(k)] for k in lengths]
+    size = np.arange(capacity + 1) / capacity
+    weight = size ** (LEAN - 1)
+    bound = float(many @ size)  # the prices that are the sizes: their best configuration has the value 1 at most
+    amounts: dict[tuple, float] = {}
+    for _ in range(rounds):
+        room = many / rounds
+        for turn in range(passes):
+            live = lengths[room[lengths] > 1e-6 * many[lengths]]
+            if not len(live):
+                break
+            price = size[live] * weight[live]
+            best, last = knapsack(live, price, capacity)
+            if not turn:
+                bound = max(bound, float(many[live] @ price) / best[capacity])
+            value, worth = dict(zip(live.tolist(), (price + best[capacity - live]).tolist())), best[capacity] * (1 - SLACK)
+            taken, path, found = set(), last.tolist(), False
+            for k in live[::-1].tolist():  # one pricing gives the best configuration with each length
+                if k in taken:
+                    continue
+                config = _walk(path, k, capacity)
+                if value[k] < worth or not taken.isdisjoint(config):
+                    continue
+                taken.update(config)
+                step = min(room[a] / m for a, m in config.items())
+                key = tuple(sorted(config.items(), reverse=True))
+                amounts[key] = amounts.get(key, 0.0) + step
+                for a, m in config.items():
+                    room[a] -= m * step
+                found = True
+            if not found:
+                break
+        lag = room[lengths] / many[lengths] * rounds
+        weight[lengths] *= np.exp(RATE * (lag - lag.mean()))
+    return amounts, bound
+
+
+def plan_packing(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS, phases: int = PHASES) -> Plan:
     """Configurations for a histogram {length: pieces}; work depends on the capacity, not on the number of pieces."""
     plan = Plan()
-    if full := histogram.get(capacity):
+    left = {k: n for k, n in histogram.items() if n}
+    if full := left.pop(capacity, 0):
         plan.add({capacity: 1}, full)
-    lengths = np.array(sorted(k for k, n in histogram.items() if n and k < capacity), np.int64)
-    left = np.array([histogram[int(k)] for k in lengths], np.int64)
-    start = left.astype(float)
-    lag = np.zeros(len(lengths))
-    for _ in range(rounds):
-        live = np.flatnonzero(left)
-        if not len(live):
+    plan.bound = full
+    for phase in range(phases):
+        left = {k: n for k, n in left.items() if n}
+        if not left:
             break
-        # prices: a little more than in proportion to the size, as large pieces are hard to place; raised for those
-        # of which more is left than of others
-        price = (lengths[live] / capacity) ** 1.15 * np.exp(0.05 * (left[live] / start[live]) + lag[live])
-        best, last = knapsack(lengths[live], price, capacity)
-        taken = np.zeros(len(live), bool)
-        for c in range(capacity, 0, -1):  # one pricing serves all the disjoint configurations on its best paths
-            config = _walk(lengths[live], best, last, c)
-            if capacity - sum(int(lengths[live[k]]) * m for k, m in config.items()) > capacity // 512:
-                break
-            own = list(config)
-            if taken[own].any():
-                continue
-            times = min(int(left[live[k]] * step) // m for k, m in config.items())
-            if times:
-                taken[own] = True
-                for k, m in config.items():
-                    left[live[k]] -= m * times
-                plan.add({int(lengths[live[k]]): m for k, m in config.items()}, times)
-        lag[live[~taken]] += 0.002
-        lag[live[taken]] -= 0.002
-    _finish(plan, lengths, left, capacity)
+        amounts, bound = covering(left, capacity, rounds)
+        if not phase:
+            plan.bound += math.ceil(bound - 1e-6)
+        order = sorted(amounts.items(), key=lambda x: (-x[1], x[0]))
+        for up in (False, True):
+            for key, amount in order:
+                fit = min(left[k] // m for k, m in key)
+                if times := min(fit, 1 if up else int(amount + 1e-9)):
+                    for k, m in key:
+                        left[k] -= m * times
+                    plan.add(dict(key), times)
+    lengths = np.array(sorted(left), np.int64)
+    _finish(plan, lengths, np.array([left[int(k)] for k in lengths], np.int64), capacity)
     return plan
 
 
@@ -220,9 +270,8 @@ def _finish(plan: Plan, lengths: np.ndarray, left: np.ndarray, capacity: int) ->
         room, config = capacity, {}
         k = int(np.flatnonzero(left)[-1])
         while k >= 0:
-            m = min(int(left[k]) - config.get(k, 0), max(1, 0))
-            config[k] = config.get(k, 0) + m
-            room -= m * int(lengths[k])
+            config[k] = config.get(k, 0) + 1
+            room -= int(lengths[k])
             k = _next(lengths, left, config, room)
         times = min(int(left[k]) // m for k, m in config.items())
         for k, m in config.items():
@@ -281,32 +330,16 @@ def pack(
 ) -> DataFrame:
     """One row per piece: id, piece, start, length, crc, sequence_id, offset.
 
-    A null or empty text is its end id alone.  Repeated rows are packed each on its own.  A length that many pieces
-    share is ranked in parts.  An empty table gives an empty result; other columns are not read.
+    A null or empty text is its end id alone.  Repeated rows are packed each on its own, and very long texts are cut.  The rank
+    of a piece within its length is its place in its task after the pieces of the tasks before; the table of counts by length
+    and task is joined, not collected.  An empty table gives an empty result; other columns are not read.
     """
-    spark = docs.sparkSession
-    store = Durable(spark, "pieces")
-    cut = store.write(
-        pieces(docs, id_col, text_col, path, capacity, eos).withColumn("row", F.monotonically_increasing_id())
-    )
+    cut = Durable(docs.sparkSession, "pieces").write(pieces(docs, id_col, text_col, path, capacity, eos))
     histogram = dict(cut.groupBy("length").count().collect())  # at most CAPACITY rows
-    parts = np.ones(capacity + 1, np.int64)
-    for length, n in histogram.items():
-        parts[length] = -(-n // PART)
-    many = F.get(F.array(*[F.lit(int(x)) for x in parts]), F.col("length").cast("int")) if parts.max() > 1 else F.lit(1)
-    cut = cut.withColumn("part", F.pmod(F.xxhash64("row"), many))
-    first, before = [], dict.fromkeys(histogram, 0)
-    for length, p, n in sorted(cut.groupBy("length", "part").count().collect()):  # a row for each PART pieces, or length
-        first.append((length, p, before[length]))
-        before[length] += n
-    plan = plan_packing(histogram, capacity)
-    base = spark.createDataFrame(first, "length long, part long, base long")
-    ranked = (
-        cut.withColumn("nth", F.row_number().over(W.partitionBy("length", "part").orderBy("row")))
-        .join(F.broadcast(base), ["length", "part"])
-        .withColumn("rank", F.col("base") + F.col("nth") - 1)
-    )
-    return place(ranked.select("id", "piece", "start", "length", "crc", "rank"), plan)
+    before = F.sum("n").over(W.partitionBy("length").orderBy("part").rowsBetween(W.unboundedPreceding, -1))
+    base = cut.groupBy("length", "part").agg(F.count("*").alias("n")).select("length", "part", F.coalesce(before, F.lit(0)).alias("base"))
+    ranked = cut.join(base.hint("shuffle_hash"), ["length", "part"]).withColumn("rank", F.col("base") + F.col("nth"))
+    return place(ranked.select("id", "piece", "start", "length", "crc", "rank"), plan_packing(histogram, capacity))
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
