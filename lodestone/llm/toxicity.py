@@ -1,8 +1,8 @@
 """Toxicity scores over text restored through a noisy channel.
 
 Disguised words (digits and signs for letters, letters spaced out, letters repeated) become lattices of characters.  A
-trigram language model of characters, counted over all documents, and the channel's costs pick the best path (Viterbi
-with a beam).  Restored words and their prefixes are the features of a logistic regression, fitted on a bounded sample
+trigram language model of characters, counted over all documents, and the channel's costs pick the best path (Viterbi over
+pairs of letters, of which a lattice has few).  Restored words and their prefixes are the features of a logistic regression, fitted on a bounded sample
 of labelled documents.  Tokens without a disguise have a lattice of one path and are kept as they are.
 """
 
@@ -17,8 +17,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, fold, one_column, slices, table, text_buffer
-from .labelled import class_counts, sample_labels, sparse_logistic, with_labels
+from .common import Durable, bounded_batches, one_column, slices, table, text_buffer
+from .labelled import class_counts, held_out, sample_labels, sparse_logistic, with_labels
 
 #: Labelled documents of each class the model is fitted on, and features it keeps.
 FIT_PER_CLASS, FEATURES, BUCKETS = 4000, 4096, 1 << 20
@@ -32,7 +32,6 @@ LETTERS = " abcdefghijklmnopqrstuvwxyzäöüßéèêëàâçîïôûùñíóáú
 _CODE = {c: i for i, c in enumerate(LETTERS)}
 _OTHER = len(LETTERS)
 A = len(LETTERS) + 1
-BEAM = 24
 
 _CODES = np.zeros(0x250, np.int64)
 for _c in range(0x250):
@@ -41,7 +40,8 @@ for _c in range(0x250):
 
 _WORD = re.compile(r"[^\W\d_]+")
 _DISGUISED = re.compile(r"[^\W\d_][0-9@$!|+]+[^\W\d_]|^[0-9@$!|+]+[^\W\d_]{2}|[^\W\d_]{2}[0-9]+$|[^\W\d_]@|@[^\W\d_]|[^\W\d_][*~^][^\W\d_]|([^\W\d_])\1\1")
-_SPACED = re.compile(r"(?<![^\s])[\w@$!|+](?:[ .\-_*]{1,2}[\w@$!|+]){3,}(?![^\s.,;:!?])")
+#: A sign is never a separator, so a run can be read in one way only.
+_SPACED = re.compile(r"(?<![^\s])(?:[^\W_]|[@$!|+])(?:[ .\-_*]{1,2}(?:[^\W_]|[@$!|+])){3,}(?![^\s.,;:!?])")
 _EDGE = "!?.,;:*#%&\"'()[]{}<>|=~^`-_/\\"
 
 
@@ -90,22 +90,28 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
 
 
 def viterbi(token: str, model: np.ndarray) -> str:
-    """The likeliest word behind a disguised token."""
+    """The likeliest word behind a disguised token; paths are linked lists, so time and memory grow with the token."""
     code = lambda c: _CODE.get(c, _OTHER)
-    front = {(0, 0): (0.0, "")}
+    front: dict[tuple[int, int], tuple] = {(0, 0): (0.0, None)}
     for options in lattice(token):
-        after: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (cost, word) in front.items():
+        after: dict[tuple[int, int], tuple] = {}
+        for (a, b), (cost, path) in front.items():
             for letter, channel in options:
                 if letter:
                     k = code(letter)
-                    state, new = (b, k), (cost + channel + model[a, b, k], word + letter)
+                    state, total, new = (b, k), cost + channel + model[a, b, k], (path, letter)
                 else:
-                    state, new = (a, b), (cost + channel, word)
-                if state not in after or after[state] < new:
-                    after[state] = new
-        front = dict(sorted(after.items(), key=lambda x: -x[1][0])[:BEAM])
-    return max((cost + model[a, b, 0], word) for (a, b), (cost, word) in front.items())[1]
+                    state, total, new = (a, b), cost + channel, path
+                have = after.get(state)
+                if have is None or have[0] < total:
+                    after[state] = (total, new)
+        front = after
+    path = max(((cost + model[a, b, 0], path) for (a, b), (cost, path) in front.items()), key=lambda x: x[0])[1]
+    out = []
+    while path is not None:
+        path, letter = path
+        out.append(letter)
+    return "".join(reversed(out))
 
 
 class Restorer:
@@ -204,9 +210,8 @@ def fit(
             )
 
     kind = dict(docs.select(id_col).dtypes)[id_col]
-    from .common import Durable
-
-    every = Durable(spark, "toxic").write(rows.mapInArrow(run, f"id {kind}, y int, f array<int>"))
+    found = rows.mapInArrow(run, f"id {kind}, y int, f array<int>")
+    every = Durable(spark, "toxic").write(found.groupBy("id", "y").agg(F.min("f").alias("f")))  # of several rows of one id, one
     n = dict(every.groupBy("y").count().collect())
     n0, n1 = n.get(0, 0), n.get(1, 0)
     if not n0 or not n1:
@@ -237,7 +242,10 @@ def fit(
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, score) for every row; null and empty texts score the bias alone; repeated rows score alike."""
+    """(id, score) for every row, whole texts; null and empty texts score the bias alone; repeated rows score alike.
+
+    An empty table gives an empty result, ids may be null, and other columns are not read.
+    """
     bounded_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -265,7 +273,8 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     """The documents that score below the threshold, scored in the same pass that passes their columns through.
 
     Where the labelled sample lacks a class (no labels, none toxic, none of these documents), no model can be fitted and
-    nothing is known to be toxic: all documents stay.
+    nothing is known to be toxic: all documents stay.  Null and empty texts are judged by the bias, rows are judged one by one,
+    and an empty table gives an empty result.
     """
     model = fit(docs, labels, id_col, text_col)
     if not model.fitted:
@@ -287,7 +296,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = score(docs, fit(docs, table(spark, sf_dir, "labels")))
     return scored.select(
         "doc_id",
-        (fold("doc_id", 5) == 0).alias("held_out"),
+        held_out().alias("held_out"),
         "score",
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
     )
