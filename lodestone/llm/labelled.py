@@ -24,10 +24,17 @@ def sample_labels(labels: DataFrame, label: str, per_class: int, folds: int = 5,
 
 
 def class_counts(labels: DataFrame, label: str, folds: int = 5, id_col: str = "doc_id") -> tuple[int, int]:
-    found = dict(labels.where(fold(id_col, folds) != 0).groupBy(F.col(label).cast("int")).count().collect())
+    """Ids of each class outside fold 0; an id that is labelled twice counts once, by its larger label."""
+    rows = labels.where(F.col(label).isin(0, 1) & (fold(id_col, folds) != 0)).groupBy(id_col).agg(F.max(label).cast("int").alias("y"))
+    found = dict(rows.groupBy("y").count().collect())
     return found.get(0, 0), found.get(1, 0)
 
 
+def held_out(id_col: str = "doc_id", folds: int = 5, rest: int = 0):
+    """Whether the id is in the fold that no label is learned from; a null id has no fold and is not held out."""
+    return F.coalesce(fold(id_col, folds) == rest, F.lit(False))
+
+
 def with_labels(docs: DataFrame, sample: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, text, y) of the sampled documents; the sample is bounded, so it is broadcast and no text is shuffled."""
     kept = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))

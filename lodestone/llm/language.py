@@ -12,15 +12,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import bounded_batches, fold, one_column, slices, table, text_buffer
+from .labelled import held_out
 
 #: Documents of the training fold that are counted (about; chosen by a hash of the id), n-gram sizes and buckets.
 FIT_ROWS, SIZES, BUCKETS = 20_000, (1, 2, 3), 1 << 15
-#: A text's log odds are divided by this many n-grams at most, so that scores of long texts stay comparable.
 SMOOTH, UNKNOWN = 0.5, "und"
+#: Languages at most: the matrix then has 32 MB.  A column with more values holds something else, and is refused.
+LANGUAGES = 256
 
 _LOWER = np.arange(0x110000, dtype=np.uint32)
 _ALPHA = np.zeros(0x110000, bool)
-for _c in range(0x30000):
+for _c in range(0x32400):  # no letters beyond
     _s = chr(_c)
     _ALPHA[_c] = _s.isalpha()
     _l = _s.lower()
@@ -58,11 +60,16 @@ def grams(raw: np.ndarray, offsets: np.ndarray):
 def fit(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows: int = FIT_ROWS
 ) -> tuple[list[str], np.ndarray]:
-    """Languages and their log probabilities (buckets x languages), the last row holding the priors."""
+    """Languages and their log probabilities (buckets x languages), the last row holding the priors.
+
+    Rows without a language or an id are not learned from; without any row there are no languages.
+    """
     spark = docs.sparkSession
     bounded_batches(spark)
     train = docs.where(F.col(lang_col).isNotNull() & (fold(id_col, 3) != 1)).select(id_col, text_col, lang_col)
-    n = {r[0]: r[1] for r in train.groupBy(lang_col).count().collect()}
+    n = {r[0]: r[1] for r in train.groupBy(lang_col).count().limit(LANGUAGES + 1).collect()}
+    if len(n) > LANGUAGES:
+        raise ValueError(f"{lang_col} has more than {LANGUAGES} values")
     if not n:
         return [], np.zeros((BUCKETS + 1, 0), np.float32)
     names = sorted(n)
@@ -110,7 +117,12 @@ def classify(names, matrix, raw, offsets):
 
 
 def predict(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, lang_pred, score) for every row; null, empty and letterless texts are ``und`` with score 0."""
+    """(id, lang_pred, score) for every row, whole texts; null, empty and letterless texts are ``und`` with score 0.
+
+    The score is the posterior with log odds divided by the root of the number of n-grams, so that scores of long texts stay
+    comparable; of equal languages the first by name wins.  Repeated rows are predicted alike, an empty table gives an empty
+    result, ids may be null, and other columns are not read.
+    """
     spark = docs.sparkSession
     bounded_batches(spark)
     sent = spark.sparkContext.broadcast(model)
@@ -132,4 +144,4 @@ def predict(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "tex
 
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return predict(docs, fit(docs)).select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
+    return predict(docs, fit(docs)).select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "lang_pred", "score")
