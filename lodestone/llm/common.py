@@ -46,6 +46,11 @@ def free_name(df: DataFrame, label: str) -> str:
     return name
 
 
+def bind(value: Column, body) -> Column:
+    """``body`` of a value that is computed once: a lambda's argument is not worked out anew at each use."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as ``spark.checkpoint.dir`` names it.
 

@@ -87,3 +87,19 @@ def sparse_logistic(rows: list[np.ndarray], y: np.ndarray, n: int, weight: np.nd
         seen += g * g
         w -= 0.5 * g / np.sqrt(seen)
     return w
+
+
+def sparse_softmax(rows: list[np.ndarray], y: np.ndarray, n: int, classes: int, l2: float = 1.0, steps: int = 300) -> np.ndarray:
+    """Adagrad for rows of active features and classes 0 to ``classes`` - 1; n + 1 rows of coefficients, the last the intercepts."""
+    data = np.concatenate(rows) if rows else np.zeros(0, np.int64)
+    row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    w, seen = np.zeros((n + 1, classes)), np.full((n + 1, classes), 1e-8)
+    want = np.eye(classes)[y]
+    for _ in range(steps):
+        z = np.stack([np.bincount(row, w[data, k], len(rows)) for k in range(classes)], 1) + w[n]
+        e = np.exp(z - z.max(1, keepdims=True))
+        e = e / e.sum(1, keepdims=True) - want
+        g = np.vstack([np.stack([np.bincount(data, e[row, k], n) for k in range(classes)], 1) + l2 * w[:n], e.sum(0)])
+        seen += g * g
+        w -= 0.5 * g / np.sqrt(seen)
+    return w

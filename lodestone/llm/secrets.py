@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Durable, table
+from .common import Durable, bind, table
 
 MIN_RUN, FDR, REJECT = 16, 0.01, 4.5
 #: Three tests that lean on the same signs: their summed logarithms count as two independent ones, stretched by this.
@@ -91,11 +91,6 @@ def _alphabet(name: str, signs: str) -> Alphabet:
 ALPHABETS = tuple(_alphabet(name, signs) for name, _, signs in ENCODINGS)
 
 
-def _bind(value: Column, body) -> Column:
-    """``body`` of a value that is computed once: a lambda's argument is not worked out anew at each use."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _total(a: Column, first: Column, many: Column) -> Column:
     return F.aggregate(F.slice(a, first, many), F.lit(0), lambda s, x: s + x)
 
@@ -115,7 +110,7 @@ def _before(sizes: Column, body) -> Column:
 
         return body(at)
 
-    return _bind(sizes, lambda a: _bind(blocks(a), lambda b: _bind(blocks(b), lambda c: sums(a, b, c))))
+    return bind(sizes, lambda a: bind(blocks(a), lambda b: bind(blocks(b), lambda c: sums(a, b, c))))
 
 
 def spans(text: Column, pattern: str, good=None, group: int = 0) -> Column:
@@ -145,9 +140,9 @@ def spans(text: Column, pattern: str, good=None, group: int = 0) -> Column:
 
             return _before(steps, one)
 
-        return F.when(F.size(found) > 0, _bind(both, place)).otherwise(none)
+        return F.when(F.size(found) > 0, bind(both, place)).otherwise(none)
 
-    return _bind(F.regexp_extract_all(text, p, F.lit(0)), all_of)
+    return bind(F.regexp_extract_all(text, p, F.lit(0)), all_of)
 
 
 def _surprise(z: Column) -> Column:
@@ -158,7 +153,7 @@ def _surprise(z: Column) -> Column:
         far = a * a / 2 + F.log(a * (1.135 * math.sqrt(2 * math.pi))) - F.log(1 - F.exp(-1.4 * a))
         return F.when(z >= 0, far).otherwise(-F.log(1 - F.exp(-far)))
 
-    return _bind(z, of)
+    return bind(z, of)
 
 
 def _tests(run: Column) -> Column:
@@ -172,7 +167,7 @@ def _tests(run: Column) -> Column:
     def battery(r):
         e = r["e"]
         k, mid = of(e, "size"), (of(e, "size") + 1) / 2
-        places = _bind(of(e, "signs"), lambda s: F.transform(F.split(r["t"], ""), lambda c: F.instr(s, c)))
+        places = bind(of(e, "signs"), lambda s: F.transform(F.split(r["t"], ""), lambda c: F.instr(s, c)))
         zero = F.struct(F.lit(0).alias("last"), *[F.lit(0.0).alias(c) for c in ("high", "changes", "serial")])
 
         def step(s, v):
@@ -190,7 +185,7 @@ def _tests(run: Column) -> Column:
         counted = lambda a: F.struct(
             F.aggregate(a, zero, step).alias("m"), F.aggregate(F.sort_array(a), nothing, squares)["sum"].alias("square"),
             F.size(a).cast("double").alias("n"))
-        return _bind(_bind(places, counted), lambda x: verdict(e, k, x))
+        return bind(bind(places, counted), lambda x: verdict(e, k, x))
 
     def verdict(e, k, x):
         n, square, high, changes, serial = x["n"], x["square"], x["m"]["high"], x["m"]["changes"], x["m"]["serial"]
@@ -210,10 +205,10 @@ def _tests(run: Column) -> Column:
         z_runs = F.when(spread > 0, (changes - expect) / F.sqrt(spread)).otherwise(F.lit(99.0))
         z_serial = serial / ((k * k - 1) / 12 * F.sqrt(n - 1))
         calm = F.greatest(F.abs(z_chi), F.abs(z_runs), F.abs(z_serial)) <= REJECT
-        return F.struct(_bind(y, lambda y: y - F.log(1 + y)).alias("p"), calm.alias("calm"))
+        return F.struct(bind(y, lambda y: y - F.log(1 + y)).alias("p"), calm.alias("calm"))
 
-    low = _bind(F.struct(run.alias("t"), which.alias("e")), lambda r: F.struct(F.when(r["e"] == lower, F.lower(r["t"])).otherwise(r["t"]).alias("t"), r["e"].alias("e")))
-    return _bind(low, battery)
+    low = bind(F.struct(run.alias("t"), which.alias("e")), lambda r: F.struct(F.when(r["e"] == lower, F.lower(r["t"])).otherwise(r["t"]).alias("t"), r["e"].alias("e")))
+    return bind(low, battery)
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fdr: float = FDR) -> DataFrame:
