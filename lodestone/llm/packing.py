@@ -33,8 +33,8 @@ PHASES, ROUNDS, PASSES = 5, 3, 8
 #: First weights are sizes to this power, as large pieces are hard to place; the learning rate; the share of the
 #: best value that a configuration may lack.
 LEAN, RATE, SLACK = 1.15, 0.3, 1 / 512
-#: Words whose ids a worker remembers, about 200 bytes each.
-REMEMBERED = 400_000
+#: Words whose ids a worker remembers, about 200 bytes each, in two halves: when one is full, the older one is forgotten.
+REMEMBERED = 1_000_000
 #: Texts within these blocks of characters are lower-cased here, as the vocabulary's own rule does it.
 _TAIL = ",.!?;:*#$%&"
 _PLAIN = re.compile("[^\x00-\u012f\u0131-\u024f]")
@@ -54,6 +54,7 @@ class Tokens:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.end = np.array([eos], "<u4").tobytes()
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -61,7 +62,6 @@ class Tokens:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split, new = [], set()
-        known = self.known
         for t in texts:
             if any(s in t for s in self.special):
                 words = [t]
@@ -69,11 +69,15 @@ class Tokens:
                 words = (t if _PLAIN.search(t) else t.lower()).replace("\n", " ").split(" ")
             split.append(words)
             new.update(words)
-        if len(known) + 2 * len(new) > REMEMBERED:
-            known.clear()
+        if len(self.known) + 2 * len(new) > REMEMBERED // 2:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
         missing, tailed = set(), []
         for w in new:
             if w not in known:
+                if (have := older.get(w)) is not None:
+                    known[w] = have
+                    continue
                 core = w.rstrip(_TAIL)
                 if core is not w and core != w and core.isalpha():  # letters and signs are never in one token
                     tailed.append((w, core, w[len(core) :]))
