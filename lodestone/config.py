@@ -63,6 +63,8 @@ TRUNCATED = "\n\n[Content truncated...]"
 THRESHOLD, EXPAND_TOP, EXPAND_FLOOR, TOP = 0.3, 5, 0.2, 6
 COST_RANGE, YEAR_RANGE = (10, 500_000), (2024, 2028)
 SLOW_MS, FAST_TIMEOUT_MS, TIMEOUT_MS, MIN_HTML = 8_000, 15_000, 30_000, 100
+SITE_PARALLEL, SITE_DELAY = 3, 0.5
+FILE_TIMEOUT, AGENT = 15.0, "Mozilla/5.0 (compatible; lodestone)"
 
 
 @dataclass(frozen=True)
@@ -87,4 +89,4 @@ def any_of(words, escape: bool = False) -> str:
     """An alternation of patterns, or of plain words."""
     import re
 
-    return "|".join(re.escape(w).replace("/", "/") if escape else w for w in words)
+    return "|".join(re.escape(w) if escape else w for w in words)

@@ -99,13 +99,34 @@ def resolve(base, href) -> Column:
     )
 
 
+def _unquoted(x: Column) -> Column:
+    """Decoded part of a query; a per cent sign without two hexadecimal digits is itself."""
+    return F.url_decode(F.regexp_replace(x, "%(?![0-9A-Fa-f]{2})", "%25"))
+
+
+def _quoted(x: Column) -> Column:
+    """Encoded part of a query: letters, digits and ``_.-~`` as they are, a space as a plus sign."""
+    return F.replace(F.replace(F.url_encode(x), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
+
+
+def clean_query(q, tracking=c.TRACKING) -> Column:
+    """A query without tracking parameters: blank values stay, parameters of one name come together, all are encoded anew."""
+    parts = F.filter(F.split(col(q), "&"), lambda x: x != "")
+    pairs = F.transform(parts, lambda x: F.struct(
+        _unquoted(F.substring_index(x, "=", 1)).alias("k"),
+        F.when(F.contains(x, F.lit("=")), _unquoted(F.regexp_replace(x, "^[^=]*=", ""))).otherwise("").alias("v")))
+    kept = F.filter(pairs, lambda x: ~F.lower(x["k"]).isin(*tracking))
+    return F.get(F.transform(F.array(kept), lambda every: F.array_join(F.flatten(F.transform(
+        F.array_distinct(F.transform(every, lambda x: x["k"])),
+        lambda k: F.transform(F.filter(every, lambda x: x["k"] == k), lambda x: F.concat(_quoted(x["k"]), F.lit("="), _quoted(x["v"]))))), "&")), F.lit(0))
+
+
 def discovered(url, source_page, binary=c.BINARY, auth=c.AUTH_WORDS, tracking=c.TRACKING) -> Column:
     """struct<url, error> of a link found on a page: resolved, screened, without fragment and tracking parameters."""
     full = resolve(source_page, strip(F.coalesce(col(url), F.lit(""))))
     p, q = path(full), query(full)
     segments = F.split(F.lower(p), "/")
-    kept = F.filter(F.split(q, "&"), lambda x: (x != "") & x.contains("=") & ~F.lower(F.substring_index(x, "=", 1)).isin(*tracking))
-    tail = F.array_join(kept, "&")
+    tail = F.when(q == "", "").otherwise(clean_query(q, tracking))
     error = (
         F.when(strip(F.coalesce(col(url), F.lit(""))) == "", "empty").when(~scheme(full).isin("http", "https"), "scheme")
         .when(F.lower(p).rlike(rf"\.({'|'.join(binary)})$"), "binary")

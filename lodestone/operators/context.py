@@ -15,11 +15,15 @@ def page_class(url, words) -> Column:
 
 
 def classify_pages(pages: DataFrame, seed: str = "seed", url: str = "url", admissions=c.PAGE_ADMISSIONS, tuition=c.PAGE_TUITION) -> DataFrame:
-    """is_admissions and is_tuition; a class without pages is all pages of its seed."""
-    w = W.partitionBy(seed)
+    """is_admissions and is_tuition; a class without pages is all pages of its seed.
+
+    What a seed has comes from partial maxima, joined back: pages of one seed do not have to meet in one task.
+    """
     out = pages.withColumns({"_a": page_class(url, admissions), "_t": page_class(url, tuition)})
-    full = lambda x: F.col(x) | ~F.max(F.col(x)).over(w)
-    return out.withColumns({"is_admissions": full("_a"), "is_tuition": full("_t")}).drop("_a", "_t")
+    has = out.groupBy(F.col(seed).alias("_s")).agg(F.max("_a").alias("_ha"), F.max("_t").alias("_ht"))
+    whole = lambda x, h: F.col(x) | ~F.col(h)
+    return out.join(has, F.col(seed).eqNullSafe(F.col("_s"))).withColumns(
+        {"is_admissions": whole("_a", "_ha"), "is_tuition": whole("_t", "_ht")}).drop("_a", "_t", "_s", "_ha", "_ht")
 
 
 def assemble(pages: DataFrame, key: str = "seed", pos: str = "pos", url: str = "url", text: str = "markdown", first: int = c.CONTEXT_PAGES, limit: int = c.CONTEXT_CHARS) -> DataFrame:

@@ -34,12 +34,27 @@ def rate_limited(error, words=c.RATE_LIMITED) -> Column:
     return F.lower(col(error)).rlike(c.any_of(words, escape=True))
 
 
-def throttle(attempts: DataFrame, delays: dict[str, float], default: float = 7.0, key=("key_index", "model"), ts: str = "ts", ok: str = "ok") -> DataFrame:
-    """Adds ``wait``: seconds an attempt had still to wait since the slot's last success."""
-    last = F.last(F.when(F.col(ok), F.col(ts)), True).over(W.partitionBy(*key).orderBy(ts).rowsBetween(W.unboundedPreceding, -1))
+def throttle(
+    attempts: DataFrame, delays: dict[str, float], default: float = 7.0, key=("key_index", "model"), ts: str = "ts", ok: str = "ok",
+    order: tuple[str, ...] = (), every: str = "hour",
+) -> DataFrame:
+    """Adds ``wait``: seconds an attempt had still to wait since the slot's last success.  ``order`` settles equal times.
+
+    There are few slots and many attempts, so attempts are dealt by slot and span of time (``every``); the last success of
+    the spans before comes from a small table with one row for each slot and span.
+    """
+    on = [*key, "_span"]
+    spanned = attempts.withColumn("_span", F.date_trunc(every, ts))
+    carried = F.max("_last").over(W.partitionBy(*key).orderBy("_span").rowsBetween(W.unboundedPreceding, -1))
+    spans = spanned.groupBy(*on).agg(F.max(F.when(F.col(ok), F.col(ts))).alias("_last")).select(*on, carried.alias("_before"))
+    spans = spans.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(on)], "_before")
+    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(on)]
+    mine = F.last(F.when(F.col(ok), F.col(ts)), True).over(W.partitionBy(*on).orderBy(ts, *order).rowsBetween(W.unboundedPreceding, -1))
+    last = F.coalesce("_mine", "_before")
     need = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in delays.items() for x in kv]), F.col("model")), F.lit(default))
     gap = (F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(last.cast("timestamp"))) / 1e6
-    return attempts.withColumn("wait", F.greatest(F.lit(0.0), need - F.coalesce(gap, need)))
+    return spanned.withColumn("_mine", mine).join(spans, same, "left").withColumn(
+        "wait", F.greatest(F.lit(0.0), need - F.coalesce(gap, need))).select(*attempts.columns, "wait")
 
 
 def usage(attempts: DataFrame) -> DataFrame:

@@ -56,8 +56,12 @@ def _when(ok: Column, issue: Column) -> Column:
     return F.when(ok, F.array(issue)).otherwise(none)
 
 
-def _before(items: Column, i: Column, same) -> Column:
-    return F.exists(F.slice(items, 1, i), same)
+def _again(items: Column, *keys: str) -> Column:
+    """For each item whether an earlier one has the same keys (nulls equal each other), by sorting, not by looking back."""
+    key = lambda x: F.struct(*[x[k].alias(k) for k in keys])
+    placed = F.sort_array(F.transform(items, lambda x, i: F.struct(key(x).alias("k"), i.alias("i"))))
+    marked = lambda s: F.transform(s, lambda x, j: F.struct(x["i"].alias("i"), ((j > 0) & x["k"].eqNullSafe(F.get(s, j - 1)["k"])).alias("again")))
+    return F.transform(F.sort_array(F.get(F.transform(F.array(placed), marked), F.lit(0))), lambda x: x["again"])
 
 
 def issues(costs=c.COST_RANGE, years=c.YEAR_RANGE) -> Column:
@@ -69,9 +73,8 @@ def issues(costs=c.COST_RANGE, years=c.YEAR_RANGE) -> Column:
     lists = {n: _when(F.coalesce(F.size(n), F.lit(0)) < 1, _missing(n, False)) for n in LISTS}
     tuition, due = F.col("tuition_breakdown"), F.col("admission_deadlines")
 
-    def fee(t, i):
+    def fee(t, again):
         name, cost = _shown(t["fee_type"]), _shown(t["cost"])
-        again = _before(tuition, i, lambda y: y["fee_type"].eqNullSafe(t["fee_type"]) & y["cost"].eqNullSafe(t["cost"]))
         say = lambda *x: F.concat(*[F.lit(v) if isinstance(v, str) else v for v in x])
         return F.concat(
             _when(again, _issue("warning", "duplicate", say("Duplicate tuition entry: '", name, "' = $", cost), "tuition_breakdown")),
@@ -79,9 +82,8 @@ def issues(costs=c.COST_RANGE, years=c.YEAR_RANGE) -> Column:
             _when(F.coalesce(t["cost"] > costs[1], F.lit(False)), _issue("warning", "cost_sanity", say("Suspiciously high cost: '", name, "' = $", cost, f" (> ${costs[1]:,})"), "tuition_breakdown")),
         )
 
-    def deadline(d, i):
+    def deadline(d, again):
         kind, day = _shown(d["deadline_type"]), _shown(d["deadline_date"])
-        again = _before(due, i, lambda y: y["deadline_type"].eqNullSafe(d["deadline_type"]) & y["deadline_date"].eqNullSafe(d["deadline_date"]))
         what = date_issue(d["deadline_date"], *years)
         year = F.year(F.try_to_date(d["deadline_date"], "yyyy-MM-dd")).cast("string")
         message = (
@@ -96,9 +98,10 @@ def issues(costs=c.COST_RANGE, years=c.YEAR_RANGE) -> Column:
         )
 
     none = F.array().cast(_ISSUE)
-    each = lambda items, f: F.coalesce(F.flatten(F.transform(items, f)), none)
+    each = lambda items, f, *keys: F.coalesce(F.flatten(F.zip_with(items, _again(items, *keys), f)), none)
     return F.concat(
-        overview, lists["tuition_breakdown"], each(tuition, fee), lists["admission_deadlines"], each(due, deadline), lists["page_metadata"])
+        overview, lists["tuition_breakdown"], each(tuition, fee, "fee_type", "cost"),
+        lists["admission_deadlines"], each(due, deadline, "deadline_type", "deadline_date"), lists["page_metadata"])
 
 
 def report(records: DataFrame, costs=c.COST_RANGE, years=c.YEAR_RANGE) -> DataFrame:
