@@ -170,54 +170,6 @@ def fit(
     return Model(good, bad, logistic(_wide(x), y, prior / prior.mean(), l2=0.01))
 
 
-def score(self, x: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(np.c_[_wide(x), np.ones(len(x))] @ self.weights, -30, 30)))
-
-
-def _wide(x: np.ndarray) -> np.ndarray:
-    return np.c_[x * 10, (x[:, :1] * x[:, 2:3]) * 50]
-
-
-def _dictionary(texts: list[bytes]) -> bytes:
-    """A trained dictionary; where there is too little text to train one, the text itself."""
-    parts, size = [], 0
-    for t in texts:
-        for b in blocks(t):
-            if size < TRAINING and b:
-                parts.append(b)
-                size += len(parts[-1])
-    try:
-        return zstd.train_dictionary(DICTIONARY, parts, level=LEVEL).as_bytes()
-    except (zstd.ZstdError, ValueError):
-        return b"".join(parts)[-DICTIONARY:] or b" " * 8
-
-
-def fit(
-    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label: str = "quality",
-    per_class: int = FIT_PER_CLASS,
-) -> Model | None:
-    """None without labels of both classes."""
-    rows = with_labels(docs, sample_labels(labels, label, per_class), id_col, text_col)
-    got = sorted(rows.select(F.xxhash64(F.lit("half"), "id").alias("h"), "text", "y").collect())  # 2 * per_class rows at most
-    y = np.array([r.y for r in got])
-    if not len(y) or y.min() == y.max():
-        return None
-    half = np.zeros(len(y), bool)
-    for c in (0, 1):
-        half[np.flatnonzero(y == c)[::2]] = True
-    data = [r.text.encode("utf-8", "surrogatepass") for r in got]
-    pair = lambda c: tuple(_dictionary([f(d) for d, h, k in zip(data, half, y) if h and k == c]) for f in (bytes, shape))
-    model = Model(pair(1), pair(0), None)
-    comp = model.ready()
-    rest = np.flatnonzero(~half) if len(set(y[~half])) == 2 else np.arange(len(y))
-    x = np.array([comp.features(got[i].text) for i in rest])
-    n0, n1 = class_counts(labels, label)
-    yr = y[rest]
-    prior = np.where(yr == 1, n1 / max(1, (yr == 1).sum()), n0 / max(1, (yr == 0).sum()))
-    model.weights = logistic(_wide(x), yr.astype(float), prior / prior.mean(), l2=0.01)
-    return model
-
-
 def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, score) for every row, whole texts.
 
