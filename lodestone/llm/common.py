@@ -97,6 +97,22 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+_held: dict = {}
+
+
+def held(key, make):
+    """A large helper of a Python worker, over all its tasks; a worker holds one at most."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
+def release() -> None:
+    """Frees what a worker holds from the tasks of another operator."""
+    _held.clear()
+
+
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of a string column without a copy; null texts are empty."""
     n = len(column)

@@ -12,7 +12,6 @@ the places of their length by a two-level rank: one within the task that cut the
 
 from __future__ import annotations
 
-import functools
 import math
 import re
 import zlib
@@ -25,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Durable, bounded_batches, one_column, table
+from .common import Durable, bounded_batches, held, one_column, table
 
 CAPACITY, EOS, VOCABULARY = 4096, 1, "word_bpe_49k.json"
 #: Programs solved one after the other on what rounding leaves, rounds of weights in each, and pricings in each round.
@@ -34,7 +33,7 @@ PHASES, ROUNDS, PASSES = 5, 3, 8
 #: best value that a configuration may lack.
 LEAN, RATE, SLACK = 1.15, 0.3, 1 / 512
 #: Words whose ids a worker remembers, about 200 bytes each, in two halves: when one is full, the older one is forgotten.
-REMEMBERED = 1_000_000
+REMEMBERED = 700_000
 #: Texts within these blocks of characters are lower-cased here, as the vocabulary's own rule does it.
 _TAIL = ",.!?;:*#$%&"
 _PLAIN = re.compile("[^\x00-\u012f\u0131-\u024f]")
@@ -91,12 +90,6 @@ class Tokens:
         return [b"".join(map(known.__getitem__, words)) + self.end for words in split]
 
 
-@functools.lru_cache(maxsize=1)
-def _worker_tokens(path: str, eos: int) -> Tokens:
-    """One for each Python worker, over all its tasks."""
-    return Tokens(path, eos)
-
-
 def default_vocabulary() -> str:
     import public_tokenizers
 
@@ -116,7 +109,8 @@ def pieces(
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        tokens, task = _worker_tokens(path or default_vocabulary(), eos), TaskContext.get().partitionId()
+        vocabulary = path or default_vocabulary(), eos
+        tokens, task = held(vocabulary, lambda: Tokens(*vocabulary)), TaskContext.get().partitionId()
         seen = [0] * (capacity + 1)
         for batch in batches:
             ids, texts = one_column(batch, id_col), one_column(batch, text_col).to_pylist()

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Durable, bounded_batches, one_column, slices, table, text_buffer
+from .common import Durable, bounded_batches, one_column, release, slices, table, text_buffer
 from .labelled import class_counts, held_out, sample_labels, sparse_logistic, with_labels
 
 #: Labelled documents of each class the model is fitted on, and features it keeps.
@@ -167,6 +167,7 @@ def _gather(docs: DataFrame, text_col: str) -> np.ndarray:
     """Trigram counts over every document: each task adds up its own, at most A ** 3 numbers."""
 
     def run(batches):
+        release()
         total = np.zeros(A**3, np.int64)
         for batch in batches:
             total += letter_trigrams(*text_buffer(one_column(batch, text_col)))
@@ -200,6 +201,7 @@ def fit(
     sent = spark.sparkContext.broadcast(language)
 
     def run(batches):
+        release()
         restorer, known = Restorer(sent.value), {}
         for batch in batches:
             texts = one_column(batch, "text").to_pylist()
@@ -250,6 +252,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
+        release()
         m = sent.value
         restorer, known = Restorer(m.language), {}
         for batch in batches:
@@ -282,6 +285,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
+        release()
         m = sent.value
         restorer, known = Restorer(m.language), {}
         for batch in batches:
