@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import config as c
 from ..session import ship
-from . import context
+from . import context, pool
 
 _FIELDS = ("university_name", "city", "state", "country", "postal_code", "phone", "email")
 OVERVIEW = ", ".join(f"{f} string, {f}_confidence string" for f in _FIELDS)
@@ -73,6 +73,37 @@ class Callable:
         return asked.mapInPandas(run, "seed string, extraction_type string, response_json string, model string, error string")
 
 
+class Pooled:
+    """Responses of ``ask(key, model, extraction_type, prompt) -> json`` through slots of keys and models.
+
+    Prompts are dealt over one task for each key, which alone uses that key, so the slots' delays hold over the whole cluster;
+    a task goes through the models of its key, skips limited slots and waits between rotations (``pool.SlotPool``).
+    """
+
+    def __init__(self, ask: Fn[[str, str, str, str], str], keys: list[str], config: c.PoolConfig = c.PoolConfig(), **clock):
+        self.ask, self.keys, self.config, self.clock = ask, list(keys), config, clock
+
+    def extract(self, asked: DataFrame) -> DataFrame:
+        ship()
+        ask, keys, config, clock = self.ask, self.keys, self.config, self.clock
+
+        def run(batches):
+            pools: dict[int, pool.SlotPool] = {}
+            for pdf in batches:
+                rows = []
+                for r in pdf.itertuples():
+                    slots = pools.setdefault(r.slot_key, pool.SlotPool([keys[r.slot_key]], config, **clock))
+                    answer, i = slots.call(lambda key, model: ask(key, model, r.extraction_type, r.prompt))  # noqa: B023
+                    model = None if i is None else slots.slots[i][1].name
+                    rows.append((r.seed, r.extraction_type, answer, model, None if i is not None else "no slot answered"))
+                yield pd.DataFrame(rows, columns=["seed", "extraction_type", "response_json", "model", "error"])
+
+        # dealt by range, all prompts of a key are in one task
+        n = len(keys)
+        dealt = asked.withColumn("slot_key", F.pmod(F.xxhash64("seed", "extraction_type"), F.lit(n)).cast("int"))
+        return dealt.repartitionByRange(n, "slot_key").mapInPandas(run, "seed string, extraction_type string, response_json string, model string, error string")
+
+
 def typed(responses: DataFrame, kind: str, schema: str) -> DataFrame:
     return responses.where(F.col("extraction_type") == kind).withColumn("r", F.from_json("response_json", schema))
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import inspect
+import time
 from collections.abc import Callable as Fn
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -47,45 +50,86 @@ class Table:
 
 
 class Callable:
-    """Pages of ``fn(url, mode) -> dict or None``: each URL once, at most ``parallel`` partitions, grouped by domain."""
+    """Pages of ``fn(url, mode)`` or ``fn(url, mode, timeout_ms)``, a dict or None: each URL once.
 
-    def __init__(self, fn: Fn[[str, str], dict | None], mode: str = "standard", parallel: int = 3):
-        self.fn, self.mode, self.parallel = fn, mode, parallel
+    URLs are dealt by domain over ``tasks`` partitions (the session's shuffle partitions by default), so sites spread over the
+    cluster while one site is asked by one task: at most ``parallel`` pages at once, each after ``delay`` seconds.  A domain
+    whose pages took longer than the bound on average gets the short time-out.  What was fetched is a rendered page, so its
+    content type is HTML; a missing time is measured.
+    """
+
+    def __init__(self, fn: Fn[..., dict | None], mode: str = "standard", parallel: int = c.SITE_PARALLEL, delay: float = c.SITE_DELAY, tasks: int | None = None):
+        self.fn, self.mode, self.parallel, self.delay, self.tasks = fn, mode, parallel, delay, tasks
 
     def fetch(self, wanted: DataFrame) -> DataFrame:
         ship()
-        fn, mode = self.fn, self.mode
+        fn, mode, parallel, delay = self.fn, self.mode, self.parallel, self.delay
+        timed = len(inspect.signature(fn).parameters) > 2
         names = [x.split()[0] for x in FETCHED.split(", ")]
 
         def run(batches):
+            spent: dict[str, list[float]] = {}  # of each domain, pages and milliseconds
+
+            def one(url, domain):
+                time.sleep(delay)
+                n, ms = spent.get(domain, (0, 0.0))
+                limit = c.FAST_TIMEOUT_MS if n and ms / n > c.SLOW_MS else c.TIMEOUT_MS
+                start = time.perf_counter()
+                try:
+                    page = fn(url, mode, limit) if timed else fn(url, mode)
+                except Exception:  # a page that cannot be fetched is left out
+                    return None
+                if not page:
+                    return None
+                page = {"fetch_time_ms": int(1000 * (time.perf_counter() - start)), **page, "url": url}
+                if "text/html" not in (page.get("content_type") or "").lower():
+                    page["content_type"] = "text/html; charset=utf-8"
+                return page
+
             for pdf in batches:
-                rows = []
-                for u in pdf["url"]:
-                    try:
-                        page = fn(u, mode)
-                    except Exception:  # a page that cannot be fetched is left out
-                        page = None
-                    if page:
-                        rows.append({**page, "url": u})
+                with ThreadPoolExecutor(parallel) as pool:
+                    rows = []
+                    for domain, urls_ in pdf.groupby("d", sort=False)["url"]:
+                        for page in pool.map(one, urls_, [domain] * len(urls_)):
+                            if page:
+                                n, ms = spent.get(domain, (0, 0.0))
+                                spent[domain] = (n + 1, ms + page["fetch_time_ms"])
+                                rows.append(page)
                 yield pd.DataFrame(rows, columns=names)
 
-        each = wanted.select("url").distinct().withColumn("d", urls.domain_key("url")).repartition(self.parallel, "d")
-        return each.select("url").mapInPandas(run, FETCHED)
+        tasks = self.tasks or int(wanted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        each = wanted.select("url").distinct().withColumn("d", urls.domain_key("url")).repartition(tasks, "d")
+        return each.mapInPandas(run, FETCHED)
+
 
+def with_fallback(
+    wanted: DataFrame, first, second=None, failed: DataFrame | None = None, sticky: DataFrame | None = None,
+    shape: Fn[[DataFrame], DataFrame] | None = None, keep: Fn[[DataFrame, str], DataFrame] | None = None,
+) -> DataFrame:
+    """Each URL once, none of the failed; what the first adapter lacks or finds blocked or walled is asked of the second.
 
-def with_fallback(wanted: DataFrame, first, second, failed: DataFrame | None = None) -> DataFrame:
-    """Each URL once, none of the failed; what the first adapter lacks or finds blocked is asked of the second."""
+    Domains of ``sticky`` (domain) are asked of the second adapter alone.  ``shape`` turns fetched pages, with a column
+    ``good``, into what is wanted of them; ``keep`` writes what an adapter gave, so that no page is asked for twice.
+    """
+    shape, keep = shape or (lambda x: x), keep or (lambda x, _: x)
     todo = wanted.select("url").distinct()
     todo = todo.join(failed.select("url"), "url", "left_anti") if failed is not None else todo
-    a = first.fetch(todo)
-    good = a.where(~bot_blocked() & rejection().isNull()).withColumn("mode", F.lit("standard"))
-    b = second.fetch(todo.join(good.select("url"), "url", "left_anti")).where(rejection().isNull()).withColumn("mode", F.lit("alternate"))
-    return good.unionByName(b)
+    fine = rejection().isNull() & ~auth_wall()
+    read = lambda adapter, urls_, good, mode: keep(shape(adapter.fetch(urls_).withColumns({"good": good, "mode": F.lit(mode)})), mode)
+    plain = todo
+    if second is not None and sticky is not None:
+        plain = todo.join(sticky.select(F.col("domain").alias("_d")), urls.domain_key("url") == F.col("_d"), "left_anti")
+    good = read(first, plain, fine & ~bot_blocked(), "standard").where("good").drop("good")
+    if second is None:
+        return good
+    rest = read(second, todo.join(good.select("url"), "url", "left_anti"), fine, "alternate").where("good").drop("good")
+    return good.unionByName(rest)
 
 
 def in_order(wanted: DataFrame, fetched: DataFrame) -> DataFrame:
     """Fetched pages with the position in which they were asked for; null and failed pages drop out."""
-    return wanted.join(fetched, "url").where(F.col("html").isNotNull())
+    got = wanted.join(fetched, "url")
+    return got.where(F.col("html").isNotNull()) if "html" in fetched.columns else got
 
 
 def domain_state(fetched: DataFrame, key="url", ms="fetch_time_ms", slow: int = c.SLOW_MS) -> DataFrame:

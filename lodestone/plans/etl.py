@@ -5,7 +5,8 @@ All seeds pass each step as one DataFrame.  A seed that fails keeps a row with i
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import tempfile
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -16,67 +17,100 @@ from ..functions import html, normalize, urls
 from ..operators import context, discovery, extract, fetch, quality
 from ..sources import web
 
-_META = "array<struct<url:string,page_title:string,scraped_at:string,status_code:string>>"
-
 
 @dataclass
 class Job:
-    """``pages`` fetches URLs; ``model`` answers prompts; ``robots`` and ``sitemaps`` are tables of bodies."""
+    """``pages`` fetches URLs, ``second`` those it finds blocked; ``model`` answers prompts.
+
+    ``robots`` and ``sitemaps`` are tables of bodies or adapters (``web.Files``).  ``navigate`` off leaves out the links of
+    pages, so that only sitemaps are looked at.  ``folder`` is shared by the driver and all executors; what is costly to make is
+    written there once.  A local master may go without it.
+    """
 
     pages: object
     model: object
-    robots: DataFrame
-    sitemaps: DataFrame
+    robots: object
+    sitemaps: object
     as_of: str | None = None
     scraped_at: str | None = None
     top: int = c.TOP
     folder: str | None = None
+    second: object | None = None
+    navigate: bool = True
+    read: list[DataFrame] = field(default_factory=list)
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
-        """What is costly to make, once: written to ``folder`` (shared by all executors) or else cached."""
+        """Written to ``folder`` and read again: a lost executor asks no site and no model a second time."""
         if not self.folder:
-            return df.cache()
+            if not df.sparkSession.sparkContext.master.startswith("local"):
+                raise ValueError("name a folder that the driver and all executors share")
+            self.folder = tempfile.mkdtemp(prefix="lodestone-job-")
         df.write.mode("overwrite").parquet(f"{self.folder}/{name}")
         return df.sparkSession.read.schema(df.schema).parquet(f"{self.folder}/{name}")
 
+    def pages_of(self, wanted: DataFrame, name: str) -> DataFrame:
+        """What is needed of pages, each of which the whole job fetches once; their html stays where they are fetched."""
+        sticky = old = None
+        if self.read:
+            every = self.read[0]
+            for more in self.read[1:]:
+                every = every.unionByName(more)
+            old = every.join(wanted.select("url").distinct(), "url", "left_semi")
+            sticky = fetch.domain_state(every).where("alternate").select("domain")
+        new = fetch.with_fallback(wanted, self.pages, self.second, old, sticky, _shape, lambda df, mode: self.keep(df, f"{name}-{mode}"))
+        self.read.append(new)
+        return new if old is None else old.unionByName(new)
+
+
+def _shape(fetched: DataFrame) -> DataFrame:
+    """Of a fetched page its links, title and Markdown, made before anything is shuffled."""
+    return fetched.select(
+        "url", "status_code", "fetch_time_ms", "good", "mode", html.title("html").alias("page_title"), html.nav_links("html").alias("nav"),
+        html.all_links("html").alias("links"), html.markdown("html").alias("markdown"))
+
 
 def discover(job: Job, seeds: DataFrame) -> DataFrame:
     """(seed, rank, url) of the pages to read for each valid seed."""
-    base = seeds.select(F.col("url").alias("seed"), urls.base_domain("url").alias("base"))
-    maps = web.robots_sitemaps(base.join(job.robots, "seed", "left").select(
+    base = job.keep(seeds.select(F.col("url").alias("seed"), urls.base_domain("url").alias("base")), "seeds")
+    robots = job.robots
+    if not isinstance(robots, DataFrame):
+        at = base.select("seed", F.concat(F.regexp_replace("seed", "/+$", ""), F.lit("/robots.txt")).alias("url"))
+        robots = at.join(job.keep(robots.fetch(at), "robots"), "url").drop("url")
+    maps = web.robots_sitemaps(base.join(robots, "seed", "left").select(
         "seed", F.regexp_replace("seed", "/+$", "").alias("base_url"), "status", "body"))
-    site = discovery.sitemap_links(web.sitemap_pages(maps.join(base, "seed"), job.sitemaps))
-    home = job.pages.fetch(base.select(F.col("seed").alias("url")))
-    raw = lambda f: f.select("*", F.explode(f["links"]).alias("l")).select("*", "l.*").drop("l", "links")
-    nav = discovery.navigation_links(raw(home.join(base, home["url"] == base["seed"]).select(
-        "seed", F.col("url").alias("page_url"), "base", html.nav_links("html").alias("links"))))
-    first = discovery.scored(nav)
-    chosen = discovery.to_expand(first).select("seed", "url", "rank")
-    child = job.pages.fetch(chosen).join(chosen, "url").join(base, "seed")
-    deep = discovery.expanded_links(raw(child.select("seed", F.col("url").alias("page_url"), "base", "rank", html.all_links("html").alias("links"))), nav)
-    layer2 = nav.select("seed", "url", "anchor_text", "source", "depth").unionByName(deep)
-    links = discovery.classified(discovery.scored(discovery.merged(site, layer2)))
+    site = job.keep(discovery.sitemap_links(web.sitemap_pages(maps.join(base, "seed"), job.sitemaps)), "sitemap_links")
+    raw = lambda f, links: f.select("*", F.explode(links).alias("l")).select("*", "l.*").drop("l", "nav", "links", "markdown")
+    layer2 = site.limit(0)
+    if job.navigate:
+        home = job.pages_of(base.select(F.col("seed").alias("url")), "home").withColumnRenamed("url", "page_url")
+        nav = discovery.navigation_links(raw(home.join(base, F.col("page_url") == F.col("seed")), "nav"))
+        nav = job.keep(nav, "nav")
+        chosen = job.keep(discovery.to_expand(discovery.scored(nav)).select("seed", "url", "rank"), "chosen")
+        child = job.pages_of(chosen, "deep").join(chosen, "url").join(base, "seed").withColumnRenamed("url", "page_url")
+        deep = discovery.expanded_links(raw(child, "links"), nav)
+        layer2 = nav.select("seed", "url", "anchor_text", "source", "depth").unionByName(deep)
+    links = job.keep(discovery.classified(discovery.scored(discovery.merged(site, layer2))), "links")
     return discovery.balanced_top(links, base.select("seed", F.col("seed").alias("homepage")), job.top)
 
 
 def run(job: Job, raw_seeds: DataFrame) -> DataFrame:
     """One record for each distinct raw seed: raw, seed, error and the nested columns (null where there is an error)."""
+    job.read.clear()
     seeds = web.seeds(raw_seeds)
     valid = seeds.where(F.col("error").isNull()).dropDuplicates(["url"])
     wanted = job.keep(discover(job, valid), "wanted")
-    got = fetch.in_order(wanted, job.pages.fetch(wanted)).where(fetch.rejection().isNull())
+    got = fetch.in_order(wanted, job.pages_of(wanted, "final").drop("nav", "links"))
     pages = job.keep(context.classify_pages(got).select(
-        "seed", F.col("rank").alias("pos"), "url", "status_code", html.title("html").alias("page_title"), "is_admissions", "is_tuition",
-        html.markdown("html").alias("markdown")), "pages")
-    asked = extract.prompts(pages)
+        "seed", F.col("rank").alias("pos"), "url", "status_code", "page_title", "is_admissions", "is_tuition", "markdown"), "pages")
+    asked = job.keep(extract.prompts(pages), "prompts")
     alive = pages.select("seed").distinct()
     values = extract.results(asked, job.keep(job.model.extract(asked), "responses"), alive)
     at = F.lit(job.scraped_at) if job.scraped_at else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
     meta = pages.groupBy("seed").agg(F.array_sort(F.collect_list(F.struct(
         "pos", F.struct("url", "page_title", at.alias("scraped_at"), F.col("status_code").cast("string").alias("status_code")).alias("m")))).alias("m"))
-    records = values.join(meta.select("seed", F.transform("m", lambda x: x["m"]).alias("page_metadata")), "seed")
+    records = job.keep(values.join(meta.select("seed", F.transform("m", lambda x: x["m"]).alias("page_metadata")), "seed"), "values")
     as_of = F.lit(job.as_of).cast("date") if job.as_of else None
-    done = quality.report(normalize.record(records, as_of))
+    done = job.keep(quality.report(job.keep(normalize.record(records, as_of), "normalized")), "records")
     out = seeds.join(done.withColumnRenamed("seed", "url"), "url", "left")
     error = F.coalesce("error", F.when(F.col("quality_report").isNull(), "no pages"))
     return out.withColumn("error", error).withColumnRenamed("url", "seed")

@@ -1,16 +1,20 @@
 """Seeds, robots files and sitemaps as DataFrames.
 
-Bodies come from tables (url, status, body); a fetch adapter of ``operators.fetch`` can fill them.
+Bodies come from tables (url, status, body), or from ``Files``, which asks for them over HTTP.
 """
 
 from __future__ import annotations
 
+import urllib.error
+import urllib.request
 import xml.etree.ElementTree as ET
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import config as c
 from ..functions import urls
 from ..functions.text import strip
 from ..session import ship
@@ -61,16 +65,48 @@ def sitemap_entries(body) -> Column:
     return F.pandas_udf(_entries, "struct<sitemaps:array<string>,pages:array<string>>")(body)
 
 
-def sitemap_pages(start: DataFrame, files: DataFrame, max_depth: int | None = None) -> DataFrame:
-    """(seed, base, url) of sitemaps and (url, status, body) of files -> distinct (seed, base, url) of the site's pages.
+def http_get(url: str, timeout: float = c.FILE_TIMEOUT, agent: str = c.AGENT) -> tuple[int, str | None]:
+    """(status, body) of a robots file or sitemap; a refused or failed request has its status, or 0, and no body."""
+    try:
+        with urllib.request.urlopen(urllib.request.Request(url, headers={"User-Agent": agent}), timeout=timeout) as r:
+            return r.status, r.read().decode(r.headers.get_content_charset() or "utf-8", "replace")
+    except urllib.error.HTTPError as e:
+        return e.code, None
+    except (OSError, ValueError):
+        return 0, None
+
+
+class Files:
+    """Bodies of ``get(url) -> (status, body)``, each URL once, dealt by host so that a host is asked by one task."""
+
+    def __init__(self, get: Callable[[str], tuple[int, str | None]] = http_get, tasks: int | None = None):
+        self.get, self.tasks = get, tasks
+
+    def fetch(self, wanted: DataFrame) -> DataFrame:
+        ship()
+        get = self.get
+
+        def run(batches):
+            for pdf in batches:
+                yield pd.DataFrame([(u, *get(u)) for u in pdf["url"]], columns=["url", "status", "body"])
 
+        tasks = self.tasks or int(wanted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        each = wanted.select("url").distinct().withColumn("h", urls.host("url")).repartition(tasks, "h")
+        return each.select("url").mapInPandas(run, "url string, status int, body string")
+
+
+def sitemap_pages(start: DataFrame, files, max_depth: int | None = None) -> DataFrame:
+    """(seed, base, url) of sitemaps and files -> distinct (seed, base, url) of the site's pages.
+
+    ``files`` is a table (url, status, body), which is parsed once, or an adapter that is asked for the files of each level.
     Sitemaps of sitemaps are followed until no new one is named (``max_depth`` levels down if given), each file once for a
-    seed, which ends cycles.  Each level is one job; the files are parsed once.
+    seed, which ends cycles.
     """
-    read = files.where(F.col("status") == 200).select("url", sitemap_entries("body").alias("e")).persist()
+    parsed = lambda t: t.where(F.col("status") == 200).select("url", sitemap_entries("body").alias("e")).persist()
+    every = parsed(files) if isinstance(files, DataFrame) else None
     front, seen, found, depth = start.select("seed", "base", "url").distinct(), start.select("seed", "url").distinct(), None, 0
     while True:
-        hit = front.join(read, "url")
+        hit = front.join(parsed(files.fetch(front)) if every is None else every, "url")
         pages = hit.select("seed", "base", F.explode("e.pages").alias("url"))
         found = pages if found is None else found.unionByName(pages)
         front = hit.select("seed", "base", F.explode("e.sitemaps").alias("url")).distinct().join(seen, ["seed", "url"], "left_anti").persist()
@@ -78,8 +114,3 @@ def sitemap_pages(start: DataFrame, files: DataFrame, max_depth: int | None = No
             return found.where(F.contains("url", "base")).distinct()
         seen = seen.unionByName(front.select("seed", "url"))
         depth += 1
-
-
-def entries_native(body: Column, kind: str = "url") -> Column:
-    """Locations by patterns, for bodies known to be plain; runs without Python."""
-    return F.transform(F.regexp_extract_all(body, F.lit(rf"(?s)<{kind}>.*?<loc>\s*(.*?)\s*</loc>"), F.lit(1)), lambda x: strip(x))
