@@ -105,7 +105,10 @@ class Pooled:
 
 
 def typed(responses: DataFrame, kind: str, schema: str) -> DataFrame:
-    return responses.where(F.col("extraction_type") == kind).withColumn("r", F.from_json("response_json", schema))
+    """Adds ``r``: the answer by its schema, null where it is missing or does not fit."""
+    read = F.from_json("response_json", f"{schema}, _corrupt string", {"columnNameOfCorruptRecord": "_corrupt"})
+    some = responses.where(F.col("extraction_type") == kind).withColumn("r", read)
+    return some.withColumn("r", F.when(F.col("r._corrupt").isNull(), F.col("r")))
 
 
 def email_guard(x: Column) -> Column:

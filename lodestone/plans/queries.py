@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .. import config as c
@@ -13,6 +13,7 @@ from ..functions import html, normalize, urls
 from ..functions.text import squeeze
 from ..operators import context, discovery, extract, fetch, pool, quality
 from ..sources import sinks, web
+from . import etl
 
 QUERIES: dict[str, Callable] = {}
 ORACLES: dict[str, str] = {}
@@ -32,6 +33,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def work_folder(spark: SparkSession, label: str) -> str | None:
+    """A new folder below the shared one that ``spark.checkpoint.dir`` names; None where it is not set."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    return f"{root}/lodestone/{label}-{uuid.uuid4().hex}" if root else None
+
+
 def _sql(v) -> str:
     return "NULL" if v is None else "'" + v.replace("'", "''") + "'" if isinstance(v, str) else str(v).lower() if isinstance(v, bool) else str(v)
 
@@ -89,13 +96,25 @@ def seed_validation(spark, sf_dir):
     return web.seeds(frame(spark, _SEEDS, "raw string"))
 
 
+_QUERIES = [
+    (-1, "https://x.edu/a?page&k=1&utm_source=z"), (-2, "https://x.edu/a?a=&b"), (-3, "https://x.edu/a?k=a%20b&q=c+d"), (-4, "https://x.edu/a?a=1&b=2&a=3"),
+    (-5, "https://x.edu/a?UTM_Source=1"), (-6, "https://X.edu//b///c?x=%C3%A9%2F*~&&y=1=2#top"), (-7, "https://x.edu/f.PDF?a=1"), (-8, "https://x.edu/a?"),
+]
+
+
 @query(f"""
-SELECT page_id, CASE WHEN regexp_matches(lower(p), '\\.({'|'.join(c.BINARY)})$') THEN NULL ELSE s || '://' || h || regexp_replace(p, '/+', '/', 'g') || CASE WHEN len(q) > 0 THEN '?' || array_to_string(q, '&') ELSE '' END END AS clean
-FROM (SELECT page_id, lower(regexp_extract(url, '^([a-zA-Z]+):', 1)) AS s, {host_of('url')} AS h, {path_of('url')} AS p,
-list_filter(string_split(regexp_extract(url, '\\?([^#]*)', 1), '&'), lambda x: x LIKE '%=%' AND split_part(lower(x), '=', 1) NOT IN ({', '.join(_sql(x) for x in c.TRACKING)})) AS q FROM pages)
+WITH u AS (SELECT page_id, url FROM pages UNION ALL SELECT * FROM {values(_QUERIES, 'page_id', 'url')}),
+x AS (SELECT page_id, unnest(string_split(q, '&')) AS x, generate_subscripts(string_split(q, '&'), 1) AS i FROM (SELECT page_id, regexp_extract(url, '\\?([^#]*)', 1) AS q FROM u)),
+kv AS (SELECT page_id, i, url_decode(replace(split_part(x, '=', 1), '+', ' ')) AS n, url_decode(replace(CASE WHEN contains(x, '=') THEN substr(x, instr(x, '=') + 1) ELSE '' END, '+', ' ')) AS v FROM x WHERE x <> ''),
+kept AS (SELECT *, min(i) OVER (PARTITION BY page_id, n) AS f FROM kv WHERE lower(n) NOT IN ({', '.join(_sql(x) for x in c.TRACKING)})),
+tail AS (SELECT page_id, string_agg(replace(url_encode(n), '%20', '+') || '=' || replace(url_encode(v), '%20', '+'), '&' ORDER BY f, i) AS t FROM kept GROUP BY page_id)
+SELECT page_id, CASE WHEN regexp_matches(lower(p), '\\.({'|'.join(c.BINARY)})$') THEN NULL ELSE s || '://' || h || regexp_replace(p, '/+', '/', 'g') || coalesce('?' || t, '') END AS clean
+FROM (SELECT page_id, lower(regexp_extract(url, '^([a-zA-Z]+):', 1)) AS s, {host_of('url')} AS h, {path_of('url')} AS p FROM u) LEFT JOIN tail USING (page_id)
 """)
 def url_clean_tracking(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", urls.discovered("url", "url")["url"].alias("clean"))
+    """Links of pages and of a fixture: blank values stay, names come together, all is encoded anew."""
+    every = table(spark, sf_dir, "pages").select("page_id", "url").unionByName(frame(spark, _QUERIES, "page_id long, url string"))
+    return every.select("page_id", urls.discovered("url", "url")["url"].alias("clean"))
 
 
 @query(f"""
@@ -117,9 +136,30 @@ def page_class_fallback(spark, sf_dir):
     return context.classify_pages(pages).drop("url")
 
 
-@query("SELECT page_id, regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1) AS title FROM pages")
+_TITLES = [(-1, "<title> A &amp; B\n&quot;x&quot;  &lt;i&gt; </title>"), (-2, "<TITLE lang=en>&amp;lt;</TITLE><title>no</title>"), (-3, "<p>none"), (-4, "<title></title>")]
+
+
+@query(f"""
+SELECT page_id, trim(regexp_replace(replace(replace(regexp_replace(regexp_replace(t, '&quot;?', '"', 'g'), '&lt;?', '<', 'g'), '&gt;', '>'), '&amp;', '&'), '\\s+', ' ', 'g')) AS title
+FROM (SELECT page_id, regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '&amp([^;]|$)', '&amp;\\1', 'g') AS t FROM (SELECT page_id, html FROM pages UNION ALL SELECT * FROM {values(_TITLES, 'page_id', 'html')}))
+""")
 def page_title(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", html.title("html").alias("title"))
+    """As a browser gives it: references decoded, white space stripped and made one space."""
+    every = table(spark, sf_dir, "pages").select("page_id", "html").unionByName(frame(spark, _TITLES, "page_id long, html string"))
+    return every.select("page_id", html.title("html").alias("title"))
+
+
+@query(f"""
+WITH p AS (SELECT page_id, url, {host_of('url')} AS h, {_BASE.format(host_of('url'))} AS b FROM pages)
+SELECT p.page_id, contains(p.url, q.b) AS listed, contains(p.h, q.b) AS linked, p.b = q.b AS strict FROM p JOIN p q ON q.page_id // 7 = p.page_id // 7 AND q.page_id % 7 = 0
+""")
+def same_site(spark, sf_dir):
+    """The three rules of "same site", each page against the first of its seven."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    other = pages.where("page_id % 7 = 0").select(F.col("page_id").alias("first"), F.col("url").alias("source"), urls.base_domain("url").alias("base"))
+    both = pages.join(other, F.expr("page_id - page_id % 7 = first"))
+    return both.select("page_id", discovery.same_site_sitemap("url", "base").alias("listed"), discovery.same_site_nav("url", "base").alias("linked"),
+                       discovery.same_site_strict("url", "source").alias("strict"))
 
 
 _NAV_SQL = f"""
@@ -366,11 +406,13 @@ def norm_date(spark, sf_dir):
     return raw.select("raw", normalize.date("raw", F.lit("2026-01-16").cast("date")).alias("date"))
 
 
-@query("SELECT doc_id, regexp_replace(regexp_replace(left(text, 80), '^\\s+|\\s+$', '', 'g'), '\\s+', ' ', 'g') AS name FROM documents WHERE left(text, 80) <> ''")
+_SPACE = r"[\s\x0B\x85\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+
+
+@query(f"SELECT doc_id, CASE WHEN text <> '' THEN regexp_replace(regexp_replace(text, '^{_SPACE}|{_SPACE}$', '', 'g'), '{_SPACE}', ' ', 'g') END AS name FROM documents")
 def norm_text(spark, sf_dir):
-    """Fee types and names share this rule; the titles of documents are their first 80 characters."""
-    t = F.substr("text", F.lit(1), F.lit(80))
-    return table(spark, sf_dir, "documents").where(t != "").select("doc_id", squeeze(t).alias("name"))
+    """Fee types and names share this rule; here it takes every whole text."""
+    return table(spark, sf_dir, "documents").select("doc_id", normalize.fee_type("text").alias("name"))
 
 
 @query("SELECT l_orderkey, l_linenumber, row_number() OVER (PARTITION BY l_orderkey, l_returnflag, l_quantity > 25 ORDER BY l_linenumber) > 1 AS again FROM lineitem")
@@ -477,10 +519,8 @@ WITH e AS (SELECT event_id, user_id, event_type, ts, last_value(CASE WHEN event_
 SELECT event_id, greatest(0, CASE WHEN p IS NULL THEN 0 ELSE 100000 - (epoch_us(ts) - epoch_us(p)) / 1000000.0::DOUBLE END)::DOUBLE AS wait FROM e
 """)
 def throttle_gap(spark, sf_dir):
-    ev = table(spark, sf_dir, "events").select("event_id", "user_id", F.lit("m").alias("model"), F.struct("ts", "event_id").alias("t"), "ts", (F.col("event_id") % 3 != 0).alias("ok"))
-    last = F.last(F.when(F.col("ok"), F.col("ts")), True).over(W.partitionBy("user_id").orderBy("t").rowsBetween(W.unboundedPreceding, -1))
-    gap = (F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(last.cast("timestamp"))) / 1e6
-    return ev.select("event_id", F.greatest(F.lit(0.0), F.lit(100000.0) - F.coalesce(gap, F.lit(100000.0))).alias("wait"))
+    ev = table(spark, sf_dir, "events").select("event_id", "user_id", F.lit("m").alias("model"), "ts", (F.col("event_id") % 3 != 0).alias("ok"))
+    return pool.throttle(ev, {"m": 100_000.0}, key=("user_id",), order=("event_id",), every="day").select("event_id", "wait")
 
 
 @query("SELECT (user_id % 6)::INTEGER AS slot, count_if(event_id % 4 <> 0)::BIGINT AS requests, count_if(event_id % 4 = 0)::BIGINT AS failures, bool_or(event_id % 40 = 0) AS limited FROM events GROUP BY ROLLUP ((user_id % 6)::INTEGER)")
@@ -518,13 +558,27 @@ def confidence_rollup(spark, sf_dir):
     return df.select("k", F.from_json(json, extract.OVERVIEW).alias("r")).select("k", F.size(scores).alias("fields"), extract.overall(scores).alias("overall"))
 
 
-@query("""
-SELECT c_mktsegment AS segment, count_if(n > 0)::BIGINT AS succeeded, count_if(n = 0)::BIGINT AS failed, sum(n)::BIGINT AS items FROM (SELECT c_custkey, c_mktsegment, (SELECT count(*) FROM orders WHERE o_custkey = c_custkey) AS n FROM customer) GROUP BY 1
+@query(f"""
+WITH {_REC_SQL} SELECT count_if(k % 13 <> 0)::BIGINT AS succeeded, count_if(k % 13 = 0)::BIGINT AS failed, sum(CASE WHEN k % 13 <> 0 THEN n ELSE 0 END)::BIGINT AS tuition, sum(CASE WHEN k % 13 <> 0 THEN n ELSE 0 END)::BIGINT AS deadlines FROM f
 """)
 def batch_summary(spark, sf_dir):
-    n = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("n"))
-    every = table(spark, sf_dir, "customer").join(n, "c_custkey", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    return every.groupBy(F.col("c_mktsegment").alias("segment")).agg(F.count_if("n > 0").alias("succeeded") if False else F.count_if(F.col("n") > 0).alias("succeeded"), F.count_if(F.col("n") == 0).alias("failed"), F.sum("n").alias("items"))
+    """Totals of a batch; every thirteenth record stands for a failed seed."""
+    r = quality.report(_records(spark, sf_dir)).withColumn("raw", F.col("seed").cast("string"))
+    return etl.totals(r.withColumn("error", F.when(F.col("seed") % 13 == 0, "no pages")))
+
+
+@query(f"""
+WITH {_REC_SQL} SELECT k::VARCHAR AS raw, k % 13 <> 0 AS ok, CASE WHEN k % 13 <> 0 THEN n ELSE 0 END::INTEGER AS tuition, CASE WHEN k % 13 <> 0 THEN n ELSE 0 END::INTEGER AS deadlines,
+round((CASE WHEN ov THEN nm::INT + (lo AND ci)::INT + lo::INT + co::INT + (co AND em)::INT ELSE 0 END + 2 * (n > 0)::INT) / 10.0::DOUBLE, 3) AS completeness_score FROM f
+""")
+def record_summary(spark, sf_dir):
+    r = quality.report(_records(spark, sf_dir)).withColumn("raw", F.col("seed").cast("string"))
+    return etl.summary(r.withColumn("error", F.when(F.col("seed") % 13 == 0, "no pages")))
+
+
+@query("SELECT user_id AS run, ts, (epoch_us(lead(ts) OVER (PARTITION BY user_id ORDER BY ts)) - epoch_us(ts)) / 1000000.0::DOUBLE AS seconds FROM events")
+def step_times(spark, sf_dir):
+    return etl.step_times(table(spark, sf_dir, "events").select(F.col("user_id").alias("run"), "ts")).select("run", "ts", "seconds")
 
 
 @query()
@@ -558,12 +612,236 @@ _MAPS = [
 ]
 
 
-@query("SELECT * FROM (VALUES ('s', 'x.edu', 'https://x.edu/apply'), ('s', 'x.edu', 'https://x.edu/fees/'), ('s', 'x.edu', 'https://x.edu/news')) AS v(seed, base, url)")
+_WHOLE = "status = 200 AND (body LIKE '%</urlset>' OR body LIKE '%</sitemapindex>')"
+_PAGES_SQL = f"""
+WITH RECURSIVE m AS (SELECT * FROM {values(_MAPS, 'url', 'status', 'body')} WHERE {_WHOLE}),
+seen AS (SELECT unnest(['https://x.edu/sitemap.xml', 'https://x.edu/sitemap_index.xml', 'https://x.edu/gone.xml']) AS url
+UNION SELECT unnest(regexp_extract_all(body, '<sitemap><loc>\\s*([^<]*?)\\s*</loc>', 1)) FROM seen JOIN m USING (url))
+SELECT DISTINCT 's' AS seed, 'x.edu' AS base, p AS url FROM (SELECT unnest(regexp_extract_all(body, '<url><loc>\\s*([^<]*?)\\s*</loc>', 1)) AS p FROM seen JOIN m USING (url)) WHERE contains(p, 'x.edu')
+"""
+
+
+@query(_PAGES_SQL)
 def sitemap_urls(spark, sf_dir):
     start = frame(spark, [("s", "x.edu", u) for u in ("https://x.edu/sitemap.xml", "https://x.edu/sitemap_index.xml", "https://x.edu/gone.xml")], "seed string, base string, url string")
     return web.sitemap_pages(start, frame(spark, _MAPS, "url string, status int, body string")).select("seed", "base", "url")
 
 
-@query("SELECT * FROM (VALUES ('s', 'https://x.edu/apply', '', 'sitemap', 0), ('s', 'https://x.edu/fees/', '', 'sitemap', 0)) AS v(seed, url, anchor_text, source, depth)")
+@query(f"SELECT seed, url, '' AS anchor_text, 'sitemap' AS source, 0 AS depth FROM ({_PAGES_SQL}) WHERE regexp_matches(lower(url), '{_ALL}')")
 def sitemap_links(spark, sf_dir):
     return discovery.sitemap_links(sitemap_urls(spark, sf_dir))
+
+
+@query(f"""
+WITH {_NAV_SQL}, s AS (SELECT seed, url, {_score_sql(_PA, (), source=_sql('nav-nav'), depth='1')} AS a, {_score_sql(_PT, (), source=_sql('nav-nav'), depth='1')} AS t FROM nav),
+r AS (SELECT seed, url, greatest(a, t) AS m, row_number() OVER (PARTITION BY seed ORDER BY greatest(a, t) DESC, url)::INTEGER AS rank FROM s) SELECT seed, url, rank FROM r WHERE rank <= 5 AND m >= 0.2
+""")
+def expand_choice(spark, sf_dir):
+    """The links of each host that are followed one level down."""
+    return discovery.to_expand(discovery.scored(_page_links(spark, sf_dir), PAGE_ADM, PAGE_TUI, (), ())).select("seed", "url", "rank")
+
+
+_P1, _P2 = "(page_id % 10 <> 7 AND page_id % 4 <> 1)", "(page_id % 3 <> 0)"
+
+
+@query(f"""
+WITH p AS (SELECT *, page_id % 40 AS d FROM pages WHERE page_id % 11 <> 3), g AS (SELECT page_id, d % 5 = 2 AS sticky, {_P1} AND length(html) >= 100 AND NOT regexp_matches(lower(html), '{'|'.join(c.BOT_MARKERS)}') AS a, {_P2} AND length(html) >= 100 AS b FROM p)
+SELECT page_id, CASE WHEN a AND NOT sticky THEN 'standard' ELSE 'alternate' END AS mode FROM g WHERE (a AND NOT sticky) OR b
+""")
+def fetch_fallback(spark, sf_dir):
+    """Pages of two adapters: some are refused by the first, some unknown to either, some domains are known to need the second."""
+    pages = table(spark, sf_dir, "pages").selectExpr("page_id", "concat('https://d', page_id % 40, '.edu/', page_id) AS url", "html")
+    made = lambda df, status: df.selectExpr("page_id", "url", "url AS final_url", f"{status} AS status_code", "'text/html' AS content_type", "html", "5 AS fetch_time_ms")
+    first = fetch.Table(made(pages.where("page_id % 4 <> 1"), "CASE WHEN page_id % 10 = 7 THEN 403 ELSE 200 END"))
+    second = fetch.Table(made(pages.where(_P2), "200"))
+    sticky = spark.range(40).where("id % 5 = 2").select(F.concat(F.lit("d"), "id", F.lit(".edu")).alias("domain"))
+    failed = pages.where("page_id % 11 = 3")
+    return fetch.with_fallback(pages, first, second, failed, sticky).select("page_id", "mode")
+
+
+@query(f"""
+WITH p AS (SELECT page_id, url, {host_of('url')} AS seed, regexp_matches(lower(url), '{'|'.join(c.PAGE_ADMISSIONS)}') AS a, regexp_matches(lower(url), '{'|'.join(c.PAGE_TUITION)}') AS t, 'text of ' || page_id AS m FROM pages),
+f AS (SELECT *, a OR NOT bool_or(a) OVER w AS fa, t OR NOT bool_or(t) OVER w AS ft FROM p WINDOW w AS (PARTITION BY seed)),
+k AS (SELECT seed, page_id, url, m, unnest(['overview', 'tuition', 'deadlines']) AS extraction_type, unnest([true, ft, fa]) AS on_ FROM f),
+n AS (SELECT *, row_number() OVER (PARTITION BY seed, extraction_type ORDER BY page_id) AS n FROM k WHERE on_)
+SELECT seed, extraction_type, string_agg(url, ' ' ORDER BY n) AS sources, md5(CASE extraction_type {' '.join(f"WHEN '{k}' THEN {_sql(v)}" for k, v in extract.RULES.items())} END || chr(10) || string_agg(chr(10) || chr(10) || '## Page: ' || url || chr(10) || m, '' ORDER BY n)) AS prompt
+FROM n WHERE n <= {c.CONTEXT_PAGES} GROUP BY seed, extraction_type
+""")
+def model_prompts(spark, sf_dir):
+    """One prompt for each host and kind of values, from the pages of its class."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", urls.host("url").alias("seed"))
+    asked = context.classify_pages(pages).withColumn("markdown", F.concat(F.lit("text of "), "page_id")).withColumnRenamed("page_id", "pos")
+    return extract.prompts(asked).select("seed", "extraction_type", F.array_join("source_urls", " ").alias("sources"), F.md5("prompt").alias("prompt"))
+
+
+def _responses(spark, sf_dir) -> DataFrame:
+    """Answers of a model for each customer, some missing, broken or partly empty."""
+    k = F.col("c_custkey")
+    gap = lambda n, x: F.when(k % n != 0, x)
+    over = F.to_json(F.struct(
+        gap(5, F.col("c_name")).alias("university_name"), F.lit("high").alias("university_name_confidence"), gap(3, F.col("c_mktsegment")).alias("city"),
+        F.when(k % 2 == 0, "high").otherwise("low").alias("city_confidence"), F.lit("PA").alias("state"), F.when(k % 7 == 0, "high").alias("state_confidence"), F.lit("17837").alias("postal_code"),
+        F.when(k % 4 == 0, "a@b.org").when(k % 4 == 1, "bad@").when(k % 4 == 2, "none").alias("email")))
+    fees = F.to_json(F.struct(F.array(
+        F.struct(F.lit("Tuition").alias("fee_type"), (k * 10).alias("cost"), F.lit("USD").alias("currency"), gap(2, F.lit("high")).alias("confidence")),
+        F.struct(gap(6, F.lit("Housing")).alias("fee_type"), F.lit(0).cast("long").alias("cost"), F.lit(None).cast("string").alias("currency"), F.lit("low").alias("confidence"))).alias("items"),
+        gap(4, F.lit("high")).alias("overall_confidence")))
+    due = F.to_json(F.struct(F.array(
+        F.struct(F.when(k % 2 == 0, "Regular Decision").otherwise("Whenever").alias("deadline_type"), gap(3, F.lit("2026-01-01")).alias("deadline_date"), gap(4, F.lit("firm")).alias("notes"), F.lit("medium").alias("confidence")),
+    ).alias("items"), F.lit("low").alias("overall_confidence")))
+    rows = table(spark, sf_dir, "customer").select(k.alias("seed"), F.explode(F.array(*[
+        F.struct(F.lit(t).alias("extraction_type"), F.when(k % 9 != 0, F.when(k % 10 == 0, "{broken").otherwise(j)).alias("response_json"), F.lit(f"m-{t}").alias("model"))
+        for t, j in (("overview", over), ("tuition", fees), ("deadlines", due))])).alias("r"))
+    return rows.select("seed", "r.*").withColumn("error", F.when(F.col("response_json").isNull(), "timeout"))
+
+
+def _results(spark, sf_dir) -> DataFrame:
+    answers = _responses(spark, sf_dir).cache()
+    asked = answers.select("seed", "extraction_type", F.array(F.concat(F.lit("u"), "seed")).alias("source_urls"), F.lit("").alias("prompt"))
+    got = extract.Replay(answers).extract(asked)
+    return extract.results(asked, got, answers.select("seed").distinct())
+
+
+_SEEN = "k % 9 <> 0 AND k % 10 <> 0"
+
+
+@query(f"""
+SELECT k AS seed, CASE WHEN {_SEEN} AND k % 5 <> 0 THEN c_name END AS name, CASE WHEN {_SEEN} AND k % 3 <> 0 THEN c_mktsegment END AS city, CASE WHEN {_SEEN} THEN 'PA' END AS state,
+CASE WHEN {_SEEN} AND k % 4 <> 1 THEN '17837' END AS postal, CASE WHEN {_SEEN} AND k % 4 = 0 THEN 'a@b.org' END AS email FROM (SELECT *, c_custkey AS k FROM customer)
+""")
+def overview_values(spark, sf_dir):
+    """Typed overview of each answer; an address that is not valid empties email and postal code."""
+    return _results(spark, sf_dir).select(
+        "seed", F.col("overview.university_name").alias("name"), "overview.location.city", "overview.location.state",
+        F.col("overview.location.postal_code").alias("postal"), "overview.contact.email")
+
+
+@query(f"""
+SELECT k AS seed, 'fee' AS kind, i AS pos, CASE WHEN i = 0 THEN 'Tuition' WHEN k % 6 <> 0 THEN 'Housing' END AS name, CASE WHEN i = 0 THEN (k * 10)::VARCHAR ELSE '0' END AS value, CASE WHEN i = 0 THEN 'USD' END AS note FROM (SELECT c_custkey AS k, unnest([0, 1]) AS i FROM customer) WHERE {_SEEN}
+UNION ALL SELECT k, 'deadline', 0, CASE WHEN k % 2 = 0 THEN 'Regular Decision' END, CASE WHEN k % 3 <> 0 THEN '2026-01-01' END, CASE WHEN k % 4 <> 0 THEN 'firm' END FROM (SELECT c_custkey AS k FROM customer) WHERE {_SEEN}
+""")
+def item_values(spark, sf_dir):
+    """Typed fees and deadlines of each answer; a type of deadline that is not known is null."""
+    r = _results(spark, sf_dir)
+    fees = r.select("seed", F.posexplode("tuition_breakdown").alias("pos", "x")).select("seed", F.lit("fee").alias("kind"), "pos", F.col("x.fee_type").alias("name"), F.col("x.cost").cast("string").alias("value"), F.col("x.currency").alias("note"))
+    due = r.select("seed", F.posexplode("admission_deadlines").alias("pos", "x")).select("seed", F.lit("deadline").alias("kind"), "pos", F.col("x.deadline_type").alias("name"), F.col("x.deadline_date").alias("value"), F.col("x.notes").alias("note"))
+    return fees.unionByName(due)
+
+
+@query(f"""
+WITH q AS (SELECT c_custkey AS k, c_name, c_mktsegment, {_SEEN.replace('k %', 'c_custkey %')} AS seen FROM customer)
+SELECT k AS seed, 'overview' AS extraction_type, unnest(['university_name', 'city', 'state', 'postal_code', 'email']) AS field_name,
+unnest(['high', CASE WHEN k % 2 = 0 THEN 'high' ELSE 'low' END, CASE WHEN k % 7 = 0 THEN 'high' ELSE 'medium' END, 'medium', 'medium']) AS confidence,
+unnest([CASE WHEN k % 5 <> 0 THEN 'Value: ' || c_name END, CASE WHEN k % 3 <> 0 THEN 'Value: ' || c_mktsegment END, 'Value: PA', 'Value: 17837', 'Value: ' || CASE k % 4 WHEN 0 THEN 'a@b.org' WHEN 1 THEN 'bad@' WHEN 2 THEN 'none' END]) AS reason FROM q WHERE seen
+UNION ALL SELECT k, 'tuition', unnest(['tuition[0].Tuition', 'tuition[1].' || CASE WHEN k % 6 <> 0 THEN 'Housing' ELSE 'None' END]), unnest([CASE WHEN k % 2 <> 0 THEN 'high' ELSE 'medium' END, 'low']), unnest(['$' || (k * 10), 'no cost']) FROM q WHERE seen
+UNION ALL SELECT k, 'deadlines', 'deadline[0].' || CASE WHEN k % 2 = 0 THEN 'Regular Decision' ELSE 'Whenever' END, 'medium', CASE WHEN k % 3 <> 0 THEN '2026-01-01 (' || CASE WHEN k % 4 <> 0 THEN 'firm' ELSE 'None' END || ')' ELSE 'no date' END FROM q WHERE seen
+""")
+def field_confidence(spark, sf_dir):
+    """The confidence and reason of each value of each answer."""
+    return _results(spark, sf_dir).select("seed", F.explode("extraction_confidence").alias("e")).select(
+        "seed", "e.extraction_type", F.explode("e.field_scores").alias("f")).select("seed", "extraction_type", "f.field_name", "f.confidence", "f.reason")
+
+
+ORACLES["field_confidence"] = f"SELECT * FROM ({ORACLES['field_confidence']}) WHERE reason IS NOT NULL"
+
+
+@query(f"""
+WITH q AS (SELECT c_custkey AS k, {_SEEN.replace('k %', 'c_custkey %')} AS seen FROM customer), o AS (SELECT *, (k % 5 <> 0)::INT + (k % 3 <> 0 AND k % 2 = 0)::INT + (k % 7 = 0)::INT AS h FROM q)
+SELECT k AS seed, 'overview' AS extraction_type, CASE WHEN NOT seen THEN 'low' WHEN h >= 3 THEN 'high' WHEN h >= 1 THEN 'medium' ELSE 'low' END AS overall_confidence, 'u' || k AS sources, 'm-overview' AS model_used FROM o
+UNION ALL SELECT k, 'tuition', CASE WHEN NOT seen THEN 'low' WHEN k % 4 <> 0 THEN 'high' ELSE 'medium' END, 'u' || k, 'm-tuition' FROM q
+UNION ALL SELECT k, 'deadlines', 'low', 'u' || k, 'm-deadlines' FROM q
+""")
+def extraction_meta(spark, sf_dir):
+    """Overall confidence, sources and model of each kind of values; a missing or broken answer counts as low."""
+    r = _results(spark, sf_dir)
+    conf = r.select("seed", F.explode("extraction_confidence").alias("e")).select("seed", "e.extraction_type", "e.overall_confidence")
+    src = r.select("seed", F.explode("extraction_sources").alias("e")).select("seed", "e.extraction_type", F.array_join("e.source_urls", " ").alias("sources"), "e.model_used")
+    return conf.join(src, ["seed", "extraction_type"])
+
+
+@query("""
+SELECT c_custkey AS seed, c_name || ' U' AS name, 'PA' AS state, 'United States' AS country, lpad((c_custkey % 100000)::VARCHAR, 5, '0') AS postal, '+1-570-577-' || lpad((c_custkey % 10000)::VARCHAR, 4, '0') AS phone,
+'a' || c_custkey || '@b.org' AS email, 'Fee x' AS fee, CASE WHEN c_custkey % 2 = 0 THEN 100 END::BIGINT AS cost, 'USD' AS currency, CASE WHEN c_custkey % 3 = 0 THEN 'rolling' ELSE '2026-01-05' END AS due FROM customer
+""")
+def record_normalized(spark, sf_dir):
+    """Every normalizer over the nested columns of a record."""
+    k = F.col("c_custkey")
+    digits = lambda n: F.lpad((k % 10**n).cast("string"), n, "0")
+    raw = table(spark, sf_dir, "customer").select(
+        k.alias("seed"),
+        F.struct(
+            F.concat(F.lit("  "), "c_name", F.lit(" \t U ")).alias("university_name"),
+            F.struct(F.lit("x").alias("city"), F.lit(" pennsylvania").alias("state"), F.lit("U.S.A.").alias("country"), F.concat(digits(5), F.lit(" ")).alias("postal_code")).alias("location"),
+            F.struct(F.concat(F.lit("(570) 577-"), digits(4)).alias("phone"), F.concat(F.lit(" A"), k, F.lit("@B.org")).alias("email")).alias("contact")).alias("overview"),
+        F.array(F.struct(F.lit(" Fee \n x").alias("fee_type"), F.when(k % 2 == 0, 100).otherwise(-1).cast("long").alias("cost"), F.lit("usd ").alias("currency"))).alias("tuition_breakdown"),
+        F.array(F.struct(F.lit("Rolling").alias("deadline_type"), F.when(k % 3 == 0, "rolling").otherwise("JANUARY 5, 2026").alias("deadline_date"), F.lit(None).cast("string").alias("notes"))).alias("admission_deadlines"))
+    r = normalize.record(raw, F.lit("2026-01-16").cast("date"))
+    o, t = F.col("overview"), F.col("tuition_breakdown")[0]
+    return r.select(
+        "seed", o["university_name"].alias("name"), o["location"]["state"].alias("state"), o["location"]["country"].alias("country"), o["location"]["postal_code"].alias("postal"),
+        o["contact"]["phone"].alias("phone"), o["contact"]["email"].alias("email"), t["fee_type"].alias("fee"), t["cost"].alias("cost"), t["currency"].alias("currency"),
+        F.col("admission_deadlines")[0]["deadline_date"].alias("due"))
+
+
+@query(f"SELECT seed, count_if(severity = 'error')::INTEGER AS errors, count_if(severity = 'warning')::INTEGER AS warnings FROM ({ORACLES['quality_issues']}) GROUP BY seed")
+def issue_counts(spark, sf_dir):
+    r = quality.report(_records(spark, sf_dir), (2000, 300_000), (1995, 1996))
+    return quality.severities(r).select("seed", "errors", "warnings")
+
+
+@query(f"""
+SELECT seed, row_number() OVER (PARTITION BY seed ORDER BY g, message)::INTEGER - 1 AS pos, message FROM (SELECT seed, message,
+CASE WHEN message LIKE 'Entire%' OR message LIKE 'Required%' THEN 0 WHEN message LIKE '%''city''%' THEN 1 WHEN message LIKE '%''state''%' THEN 2 WHEN message LIKE '%''country''%' THEN 3 WHEN message LIKE '%''postal_code''%' THEN 4
+WHEN message LIKE '%''phone''%' THEN 5 WHEN message LIKE '%''email''%' THEN 6 WHEN message LIKE '%tuition_breakdown%' THEN 7 WHEN message LIKE '%admission_deadlines%' THEN 8 ELSE 9 END AS g
+FROM ({ORACLES['quality_issues']}) WHERE category = 'missing_field')
+""")
+def issue_order(spark, sf_dir):
+    """The missing fields of each record in the order of the report."""
+    r = quality.report(_records(spark, sf_dir), (2000, 300_000), (1995, 1996))
+    missing = F.filter("quality_report.issues", lambda i: i["category"] == "missing_field")
+    return r.select("seed", F.posexplode(missing).alias("pos", "i")).select("seed", "pos", "i.message")
+
+
+@query(f"""
+WITH {_REC_SQL} SELECT k AS seed, n::INTEGER AS fees, CASE WHEN ov AND nm THEN (SELECT c_name FROM customer WHERE c_custkey = k) END AS name, CASE WHEN ov AND co AND em THEN 'a@b.c' END AS email,
+(CASE WHEN ov THEN nm::INT + (lo AND ci)::INT + lo::INT + co::INT + (co AND em)::INT ELSE 0 END + 2 * (n > 0)::INT)::INTEGER AS populated FROM f
+""")
+def record_fields(spark, sf_dir):
+    """Fields of the JSON of each record, read back from its text."""
+    r = record_json(spark, sf_dir)
+    at = lambda p: F.get_json_object("json", f"$.{p}")
+    return r.select("seed", F.coalesce(F.json_array_length(at("tuition_breakdown")), F.lit(0)).alias("fees"), at("overview.university_name").alias("name"), at("overview.contact.email").alias("email"),
+                    at("quality_report.total_fields_populated").cast("int").alias("populated"))
+
+
+@query("""
+SELECT p_partkey AS k, 't' || chr(10) || chr(10) || '# ' || p_name || chr(10) || chr(10) || 'Made by **' || p_brand || '** & co.' || chr(10) || chr(10) || '- size ' || p_size || chr(10) || '- see it' AS markdown FROM part
+""")
+def markdown_plain(spark, sf_dir):
+    """Markdown of small pages that are composed from a table; a title is no noise and stays."""
+    page = F.concat(
+        F.lit("<html><head><title>t</title><style>x</style></head><body><nav><a href='/'>Home</a></nav><h1>"), "p_name", F.lit("</h1>\n<p>Made by\n <b>"), "p_brand",
+        F.lit("</b> &amp; co.</p><script>no()</script><ul><li>size "), "p_size", F.lit("</li><li><a href='/x'>see it</a></li></ul><footer>end</footer></body></html>"))
+    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"), html.markdown(page).alias("markdown"))
+
+
+@query("""
+SELECT 's' || i || '.edu' AS raw, CASE WHEN i % 5 = 4 THEN 'no pages' END AS error, CASE WHEN i % 5 = 4 THEN NULL ELSE 4 END AS pages, CASE WHEN i % 5 <> 4 THEN CASE WHEN i % 3 = 0 THEN 0 ELSE 1 END END AS fees,
+CASE WHEN i % 5 <> 4 AND i % 2 = 0 THEN 'S' || i END AS name FROM (SELECT unnest(range(40)) AS i)
+""")
+def job_records(spark, sf_dir):
+    """The whole job on forty small sites: discovery, pages, prompts, answers, records; every fifth site is gone."""
+    body = "<p>" + "words of the page. " * 20 + "</p>"
+    site = spark.range(40).select(F.col("id").cast("int").alias("i"), F.concat(F.lit("https://www.s"), "id", F.lit(".edu/")).alias("home"))
+    paths = {"": f"<title>Home</title><nav><a href='/admissions'>Apply</a><a href='/tuition'>Costs</a></nav>{body}", "admissions/": f"<title>Adm</title>{body}", "tuition/": f"<title>Fees</title>{body}", "apply-now": body}
+    pages = site.where("i % 5 <> 4").select(F.explode(F.array(*[F.struct(F.concat("home", F.lit(p)).alias("url"), F.lit(h).alias("html")) for p, h in paths.items()])).alias("p")).select(
+        "p.url", F.col("p.url").alias("final_url"), F.lit(200).alias("status_code"), F.lit("text/html").alias("content_type"), "p.html", F.lit(5).alias("fetch_time_ms"))
+    maps = site.select(F.concat("home", F.lit("sitemap.xml")).alias("url"), F.lit(200).alias("status"), F.concat(F.lit("<urlset><url><loc>"), "home", F.lit("apply-now</loc></url></urlset>")).alias("body"))
+    robots = site.select(F.col("home").alias("seed"), F.lit(404).alias("status"), F.lit(None).cast("string").alias("body"))
+    one = lambda kind, ok, text: F.struct(F.lit(kind).alias("extraction_type"), F.when(ok, text).alias("response_json"), F.lit("m").alias("model"), F.lit(None).cast("string").alias("error"))
+    answers = site.select(F.col("home").alias("seed"), F.explode(F.array(
+        one("overview", F.col("i") % 2 == 0, F.concat(F.lit('{"university_name": " S'), "i", F.lit('"}'))),
+        one("tuition", F.col("i") % 3 != 0, F.lit('{"items": [{"fee_type": "Tuition", "cost": 100}]}')), one("deadlines", F.lit(False), F.lit("")))).alias("r")).select("seed", "r.*")
+    job = etl.Job(fetch.Table(pages), extract.Replay(answers), robots, maps, "2026-01-16", "2026-01-16T00:00:00+00:00", folder=work_folder(spark, "job"))
+    out = etl.run(job, site.select(F.concat(F.lit("s"), "i", F.lit(".edu")).alias("raw")))
+    return out.select("raw", "error", F.nullif(F.size("page_metadata"), F.lit(-1)).alias("pages"), F.nullif(F.size("tuition_breakdown"), F.lit(-1)).alias("fees"), F.col("overview.university_name").alias("name"))

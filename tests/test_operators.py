@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lodestone import config as c
 from lodestone.operators import discovery, extract, fetch, pool, quality
 from lodestone.plans import etl
-from lodestone.sources import sinks
+from lodestone.sources import sinks, web
 from lodestone.streaming import state
 
 
@@ -117,6 +117,91 @@ def test_job(spark, tmp_path):
     assert quality.severities(out.where("error is null")).first().errors == 0
 
 
+def counted(folder, blocked=()):
+    """A fetch function that notes each call in a file; ``blocked`` pages are refused in the standard mode."""
+
+    def get(url, mode, timeout_ms):
+        import os
+        import uuid
+
+        with open(os.path.join(folder, uuid.uuid4().hex), "w") as f:
+            f.write(f"{mode} {url} {timeout_ms}")
+        if url not in SITE:
+            return None
+        return {"final_url": url, "status_code": 403 if url in blocked and mode == "standard" else 200, "content_type": None, "html": SITE[url], "title": None, "depth": 0}
+
+    return get
+
+
+def test_job_asks_for_each_page_once(spark, tmp_path):
+    """Homepages, pages one level down and chosen pages overlap; refused pages and their domain go to the second adapter."""
+    seeds = spark.createDataFrame([("x.edu",)], "raw string")
+    for name, blocked in (("open", ()), ("refused", ("https://www.x.edu/",))):
+        calls = tmp_path / name
+        calls.mkdir()
+        get = counted(str(calls), blocked)
+        j = job(spark, extract.Callable(answers()))
+        j.pages, j.second, j.folder = fetch.Callable(get, delay=0, tasks=2), fetch.Callable(get, "alternate", delay=0, tasks=2), str(tmp_path / f"{name}-job")
+        assert etl.run(j, seeds).first().error is None
+        seen = [f.read_text().split() for f in calls.iterdir()]
+        assert len({(m, u) for m, u, _ in seen}) == len(seen) and {u for _, u, _ in seen} == set(SITE)
+        assert [m for m, u, _ in seen if u == "https://www.x.edu/"].count("standard") == 1
+        assert {m for m, u, _ in seen if u != "https://www.x.edu/"} == ({"alternate"} if blocked else {"standard"})
+
+
+def test_job_without_navigation(spark):
+    j = job(spark, extract.Callable(answers()))
+    j.navigate = False
+    got = etl.run(j, spark.createDataFrame([("x.edu",)], "raw string")).first()
+    assert [m.url for m in got.page_metadata] == ["https://www.x.edu/", "https://www.x.edu/apply-now"]
+
+
+def test_files(spark):
+    """Robots files and sitemaps through an adapter, each level asked for its own files."""
+    known = {"https://x.edu/s.xml": (200, "<sitemapindex><sitemap><loc>https://x.edu/t.xml</loc></sitemap></sitemapindex>"), "https://x.edu/t.xml": (200, "<urlset><url><loc>https://x.edu/p</loc></url></urlset>")}
+    start = spark.createDataFrame([("s", "x.edu", "https://x.edu/s.xml"), ("s", "x.edu", "https://x.edu/none.xml")], "seed string, base string, url string")
+    got = web.sitemap_pages(start, web.Files(lambda u: known.get(u, (404, None)), tasks=2)).collect()
+    assert [tuple(r) for r in got] == [("s", "x.edu", "https://x.edu/p")]
+    assert web.http_get("http://127.0.0.1:9/robots.txt", timeout=1.0) == (0, None)
+
+
+def test_pooled_model(spark):
+    """Prompts go through the slots of their key; limited models are passed over."""
+
+    def ask(key, model, kind, prompt):
+        if model == "a" or kind == "bad":
+            raise RuntimeError("429 quota")
+        return f"{key} {model} {prompt}"
+
+    asked = spark.createDataFrame([(f"s{i}", "bad" if i == 7 else "overview", [], f"p{i}") for i in range(20)], "seed string, extraction_type string, source_urls array<string>, prompt string")
+    adapter = extract.Pooled(ask, ["k0", "k1", "k2"], c.PoolConfig(models=(c.Model("a", 0.0), c.Model("b", 0.0)), rotations=1), sleep=lambda s: None)
+    got = {r.seed: r for r in adapter.extract(asked).collect()}
+    assert len(got) == 20 and got["s7"].error == "no slot answered" and got["s7"].response_json is None
+    assert all(got[f"s{i}"].model == "b" and got[f"s{i}"].response_json.endswith(f" b p{i}") for i in range(20) if i != 7 and got[f"s{i}"].error is None)
+    assert sum(r.error is None for r in got.values()) >= 10
+
+
+def test_broken_answers(spark):
+    """An answer that is no JSON, or does not fit its schema, is a failed one."""
+    rows = spark.createDataFrame([("a", "tuition", "{broken"), ("b", "tuition", '{"items": [{"cost": 5}]}'), ("c", "tuition", "")], "seed string, extraction_type string, response_json string")
+    assert {r.seed for r in extract.typed(rows, "tuition", extract.TUITION).where("r is not null").collect()} == {"b"}
+
+
+def test_malformed_html():
+    """Broken markup is read in time that grows with its length."""
+    import time
+
+    from lodestone.functions import html
+
+    for page in ("<div><a href=x>" * 30_000, "<a" * 200_000, "<a b='" * 60_000, "<!-- -" * 60_000, "<ul><li>" * 30_000):
+        took = []
+        for part in (page[: len(page) // 2], page):
+            start = time.perf_counter()
+            html.to_markdown(part)
+            took.append(time.perf_counter() - start)
+        assert took[1] < 4 * took[0] + 2 and took[1] < 30
+
+
 def test_fetch(spark):
     calls = {"standard": {"https://a.edu/1": 403, "https://a.edu/2": 200}, "alternate": {"https://a.edu/1": 200}}
 
