@@ -26,9 +26,8 @@ def _large_star(edges: DataFrame, total: int) -> DataFrame:
 
 
 def _small_star(edges: DataFrame, total: int) -> DataFrame:
-    near = _with_least(edges, total)
-    # the link from a to its least comes out once for each task and link; distinct drops the repeats before the shuffle
-    return near.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(near.select("a", F.col("m").alias("b")))
+    near = _with_least(edges, total)  # the least of a is among its links: each link gives one, whatever its repeats
+    return near.select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
 
 
 def smallest_reachable(edges: DataFrame) -> DataFrame:
@@ -41,7 +40,7 @@ def smallest_reachable(edges: DataFrame) -> DataFrame:
     mark = lambda e: e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
     before = mark(current)
     while before[0]:
-        large = store.write(_large_star(current, before[0]).where("a <> b").distinct())
+        large = store.write(_large_star(current, before[0]).where("a <> b"))  # as many links as there are; repeats do no harm
         after = store.write(_small_star(large, before[0]).where("a <> b").distinct())
         store.drop(large)
         store.drop(current)

@@ -130,6 +130,47 @@ def test_simhash_null_and_repeated_ids(spark):
         assert sorted((str(x.doc_id), x.text) for x in kept) == sorted((str(k), x) for x, k in want.items())
 
 
+def test_similar_spanning():
+    """Links of two parts of a group span all similar pairs, and are fewer than the nodes, not one for each pair."""
+    r = random.Random(8)
+    for case in range(60):
+        sets = {k: frozenset(r.sample(range(14), r.choice([10, 11, 12]))) for k in range(1, 40)}
+        far = {k: r.random() < 0.7 for k in sets}
+        alike = lambda a, b: len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8
+        part = similar._Linked(0)
+        stored = [k for k in sets if far[k] and r.random() < 0.8]
+        for k in stored:
+            part.add(k, [0], 1)
+        part.close()
+        tried, links = [0], []
+        for k in r.sample(sorted(sets), len(sets)):
+            links += part.links(k, far[k], [0, 7], lambda i, k=k: (tried.append(i), alike(stored[i], k))[1])
+        want = [(k if far[k] else 0, x) for k in sets for x in stored if k != x and (x < k or not far[k]) and alike(x, k)]
+
+        def groups(pairs):
+            root = {k: k for k in [0, *sets]}
+            for _ in range(len(root)):
+                for a, b in pairs:
+                    root[a] = root[b] = min(root[a], root[b])
+            return root
+
+        assert groups(links) == groups(want) and len(links) <= len(sets) and len(links) < len(want)
+        assert set(links) <= set(want)
+
+
+def test_similar_parts(spark, monkeypatch):
+    """Groups that are cut into many parts give what a comparison of all pairs gives."""
+    monkeypatch.setattr(similar, "GROUP", 5)
+    r = random.Random(6)
+    base = r.choices("ab cd EF gh ij kl mn op qr st".split(), k=150)
+    texts = []
+    for i in range(60):  # a chain of texts: the ends are far from each other
+        base[r.randrange(150)] = f"w{i}"
+        texts.append((i, " ".join(base)))
+    kept = similar.drop_similar(frame(spark, [(i, t, None) for i, t in texts]))
+    assert {x.doc_id for x in kept.collect()} == similar.brute(texts)
+
+
 def test_similar(spark, odd, none):
     """The near-dedup stage keeps what a comparison of all pairs keeps: five words, similarity 0.8."""
     import corpus_pipeline as p
