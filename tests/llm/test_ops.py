@@ -137,14 +137,16 @@ def test_similar_spanning():
         sets = {k: frozenset(r.sample(range(14), r.choice([10, 11, 12]))) for k in range(1, 40)}
         far = {k: r.random() < 0.7 for k in sets}
         alike = lambda a, b: len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8
-        part = similar._Linked(0)
+        step = np.uint64(r.choice([1, 512]))  # so that words share bits of the maps
+        words = {k: np.array(sorted(v), np.uint64) * step for k, v in sets.items()}
+        part = similar._Linked(0, 0.8)
         stored = [k for k in sets if far[k] and r.random() < 0.8]
         for k in stored:
-            part.add(k, [0], 1)
+            part.add(k, [0], words[k])
         part.close()
         tried, links = [0], []
         for k in r.sample(sorted(sets), len(sets)):
-            links += part.links(k, far[k], [0, 7], lambda i, k=k: (tried.append(i), alike(stored[i], k))[1])
+            links += part.links(k, far[k], [0, 7], words[k], lambda i, k=k: (tried.append(i), alike(stored[i], k))[1])
         want = [(k if far[k] else 0, x) for k in sets for x in stored if k != x and (x < k or not far[k]) and alike(x, k)]
 
         def groups(pairs):
