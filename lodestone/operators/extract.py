@@ -115,11 +115,15 @@ def email_guard(x: Column) -> Column:
     return F.when(F.contains(x, F.lit("@")), x)
 
 
+def valid_email(x: Column) -> Column:
+    return x.rlike(_EMAIL)
+
+
 def overview_value(r: str = "r") -> Column:
     """The overview; an invalid address empties email and postal code."""
     g = lambda f: F.col(f"{r}.{f}")
     mail = email_guard(g("email"))
-    bad = mail.isNotNull() & ~mail.rlike(_EMAIL)
+    bad = mail.isNotNull() & ~valid_email(mail)
     return F.when(F.col(r).isNotNull(), F.struct(
         g("university_name").alias("university_name"),
         F.struct(g("city").alias("city"), g("state").alias("state"), g("country").alias("country"), F.when(~F.coalesce(bad, F.lit(False)), g("postal_code")).alias("postal_code")).alias("location"),

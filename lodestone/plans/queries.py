@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -39,6 +40,14 @@ def work_folder(spark: SparkSession, label: str) -> str | None:
     return f"{root}/lodestone/{label}-{uuid.uuid4().hex}" if root else None
 
 
+def new_folder(spark: SparkSession, label: str) -> str:
+    """As ``work_folder``; a local master may go without the setting."""
+    folder = work_folder(spark, label)
+    if not folder and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return folder or tempfile.mkdtemp(prefix=f"lodestone-{label}-")
+
+
 def _sql(v) -> str:
     return "NULL" if v is None else "'" + v.replace("'", "''") + "'" if isinstance(v, str) else str(v).lower() if isinstance(v, bool) else str(v)
 
