@@ -30,14 +30,15 @@ def counts(documents: DataFrame, settings: dict) -> DataFrame:
     Rows with an empty value count the site's documents (kind ``document``) and those with any contact of a kind.  Tasks add up
     what they read first, so a site with most of the documents is a few rows of each.
     """
-    text = F.coalesce("text", F.lit(""))
     row = lambda kind, value: F.struct(F.lit(kind).alias("kind"), value.alias("value"))
-    every = F.array(row("document", F.lit("")))
-    for kind, norm in (("phone", normalize.phone), ("email", normalize.email)):
-        named = F.transform(F.regexp_extract_all(text, F.lit(settings[kind]), 0), lambda x: row(kind, norm(x)))  # noqa: B023
-        every = F.concat(every, named, F.when(F.size(named) > 0, F.array(row(kind, F.lit("")))).otherwise(F.array().cast("array<struct<kind:string,value:string>>")))
-    lang = F.coalesce(F.nullif("lang", F.lit("")), F.lit("und"))
-    one = documents.select(lang.alias("lang"), F.coalesce("source", F.lit("")).alias("source"), "doc_id", F.explode(F.array_distinct(every)).alias("c"))
+    each = lambda kind: F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(settings[kind]), 0).alias(kind)
+    some = lambda kind: F.when(F.size(kind) > 0, F.array(row(kind, F.lit("")))).otherwise(F.array().cast("array<struct<kind:string,value:string>>"))
+    site = [F.coalesce(F.nullif("lang", F.lit("")), F.lit("und")).alias("lang"), F.coalesce("source", F.lit("")).alias("source"), "doc_id"]
+    raw = documents.select(*site, each("phone"), each("email"))
+    every = F.concat(
+        F.array(row("document", F.lit(""))), some("phone"), some("email"),
+        F.transform("phone", lambda x: row("phone", normalize.phone(x))), F.transform("email", lambda x: row("email", normalize.email(x))))
+    one = raw.select("lang", "source", "doc_id", F.explode(F.array_distinct(every)).alias("c"))
     return one.groupBy("lang", "source", "c.kind", "c.value").agg(F.count(F.lit(1)).alias("docs"), F.min("doc_id").alias("first_doc"))
 
 

@@ -64,6 +64,8 @@ THRESHOLD, EXPAND_TOP, EXPAND_FLOOR, TOP = 0.3, 5, 0.2, 6
 COST_RANGE, YEAR_RANGE = (10, 500_000), (2024, 2028)
 SLOW_MS, FAST_TIMEOUT_MS, TIMEOUT_MS, MIN_HTML = 8_000, 15_000, 30_000, 100
 SITE_PARALLEL, SITE_DELAY = 3, 0.5
+#: Pages that one task loads at once, of all its sites.
+TASK_THREADS = 64
 FILE_TIMEOUT, AGENT = 15.0, "Mozilla/5.0 (compatible; lodestone)"
 
 

@@ -6,9 +6,11 @@ All seeds pass each step as one DataFrame.  A seed that fails keeps a row with i
 from __future__ import annotations
 
 import tempfile
+import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -24,7 +26,8 @@ class Job:
 
     ``robots`` and ``sitemaps`` are tables of bodies or adapters (``web.Files``).  ``navigate`` off leaves out the links of
     pages, so that only sitemaps are looked at.  ``folder`` is shared by the driver and all executors; what is costly to make is
-    written there once.  A local master may go without it.
+    written there once.  A local master may go without it.  ``memory`` is a folder that runs share: what one has fetched, or failed
+    to, the next does not ask for again, unless it is older than ``fresh`` (an interval, such as ``7 days``).
     """
 
     pages: object
@@ -37,6 +40,9 @@ class Job:
     folder: str | None = None
     second: object | None = None
     navigate: bool = True
+    memory: str | None = None
+    fresh: str | None = None
+    run_id: str = ""
     read: list[DataFrame] = field(default_factory=list)
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
@@ -49,23 +55,55 @@ class Job:
         return df.sparkSession.read.schema(df.schema).parquet(f"{self.folder}/{name}")
 
     def pages_of(self, wanted: DataFrame, name: str) -> DataFrame:
-        """What is needed of pages, each of which the whole job fetches once; their html stays where they are fetched."""
-        sticky = old = None
+        """What is needed of pages, each of which the whole job fetches once; their html stays where they are fetched.
+
+        What was asked before, in this run or by an earlier one with the same ``memory``, is not asked again: a page is there, a
+        failure stays one.  Load times and the domains that need the alternate mode carry over.
+        """
+        old = failed = sticky = times = None
         if self.read:
             every = self.read[0]
             for more in self.read[1:]:
                 every = every.unionByName(more)
-            old = every.join(wanted.select("url").distinct(), "url", "left_semi")
-            sticky = fetch.domain_state(every).where("alternate").select("domain")
-        new = fetch.with_fallback(wanted, self.pages, self.second, old, sticky, _shape, lambda df, mode: self.keep(df, f"{name}-{mode}"))
-        self.read.append(new)
+            old = every.where("good").join(wanted.select("url").distinct(), "url", "left_semi").drop("good", "fetched_at")
+            failed, sticky, times = every.select("url").distinct(), fetch.sticky_domains(every), fetch.domain_times(every)
+        now: list[DataFrame] = []
+
+        def keep(df: DataFrame, mode: str) -> DataFrame:
+            now.append(self.remember(df, f"{name}-{mode}") if self.memory else self.keep(df, f"{name}-{mode}"))
+            return now[-1]
+
+        new = fetch.with_fallback(wanted, self.pages, self.second, failed, sticky, _shape, keep, times).drop("fetched_at")
+        self.read += now
         return new if old is None else old.unionByName(new)
 
+    def remember(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.memory}/run={self.run_id}/step={name}"
+        df.write.mode("overwrite").parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    def recall(self, spark: SparkSession) -> None:
+        """Begins a run with what ``memory`` holds and is not older than ``fresh``."""
+        self.read.clear()
+        self.run_id = uuid.uuid4().hex
+        if not self.memory:
+            return
+        schema = _shape(spark.createDataFrame([], f"{fetch.FETCHED}, good boolean, mode string")).schema
+        try:
+            old = spark.read.schema(schema).parquet(self.memory)
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e):
+                raise
+            return
+        if self.fresh:
+            old = old.where(F.col("fetched_at") > F.current_timestamp() - F.expr(f"INTERVAL {self.fresh}"))
+        self.read.append(old.select(schema.names))
+
 
 def _shape(fetched: DataFrame) -> DataFrame:
     """Of a fetched page its links, title and Markdown, made before anything is shuffled."""
     return fetched.select(
-        "url", "status_code", "fetch_time_ms", "good", "mode", html.title("html").alias("page_title"), html.nav_links("html").alias("nav"),
+        "url", "status_code", "fetch_time_ms", "good", "mode", F.current_timestamp().alias("fetched_at"), html.title("html").alias("page_title"), html.nav_links("html").alias("nav"),
         html.all_links("html").alias("links"), html.markdown("html").alias("markdown"))
 
 
@@ -95,7 +133,7 @@ def discover(job: Job, seeds: DataFrame) -> DataFrame:
 
 def run(job: Job, raw_seeds: DataFrame) -> DataFrame:
     """One record for each distinct raw seed: raw, seed, error and the nested columns (null where there is an error)."""
-    job.read.clear()
+    job.recall(raw_seeds.sparkSession)
     seeds = web.seeds(raw_seeds)
     valid = seeds.where(F.col("error").isNull()).dropDuplicates(["url"])
     wanted = job.keep(discover(job, valid), "wanted")

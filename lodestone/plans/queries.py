@@ -14,6 +14,7 @@ from ..functions import html, normalize, urls
 from ..functions.text import squeeze
 from ..operators import context, discovery, extract, fetch, pool, quality
 from ..sources import sinks, web
+from ..streaming import state
 from . import etl
 
 QUERIES: dict[str, Callable] = {}
@@ -650,6 +651,53 @@ def expand_choice(spark, sf_dir):
     return discovery.to_expand(discovery.scored(_page_links(spark, sf_dir), PAGE_ADM, PAGE_TUI, (), ())).select("seed", "url", "rank")
 
 
+def _requests(spark, sf_dir) -> DataFrame:
+    """A log of requests: some URLs again and again, some refused, some without an answer, some sites slow."""
+    return _as_requests(table(spark, sf_dir, "events"))
+
+
+def _as_requests(events: DataFrame) -> DataFrame:
+    return events.selectExpr(
+        "event_id AS n", "ts", "concat('https://d', user_id % 60, '.edu/', user_id % 7, '/', event_type) AS url", "event_id % 4 <> 0 AS first_ok", "event_id % 3 <> 0 AS second_ok",
+        "CASE WHEN event_id % 12 <> 4 THEN cast(value * 40 + user_id % 60 * 130 AS int) END AS first_ms", "cast(value * 60 AS int) AS second_ms")
+
+
+_REPLAY_SQL = """
+WITH r AS (SELECT event_id AS n, ts, 'd' || (user_id % 60) || '.edu' AS d, 'https://d' || (user_id % 60) || '.edu/' || (user_id % 7) || '/' || event_type AS url, event_id % 4 <> 0 AS a, event_id % 3 <> 0 AS b,
+    CASE WHEN event_id % 12 <> 4 THEN trunc(value * 40 + user_id % 60 * 130)::BIGINT END AS ams, trunc(value * 60)::BIGINT AS bms FROM events),
+f AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY ts, n) = 1 AS is_first FROM r),
+s AS (SELECT *, coalesce(max((NOT a AND b)::INT) OVER (PARTITION BY d ORDER BY ts, n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) = 1 AS sticky FROM f WHERE is_first),
+l AS (SELECT *, CASE WHEN sticky THEN b ELSE a OR b END AS ok, CASE WHEN sticky THEN 1 WHEN a THEN (ams IS NOT NULL)::INT ELSE (ams IS NOT NULL)::INT + 1 END AS k,
+    CASE WHEN sticky THEN bms WHEN a THEN coalesce(ams, 0) ELSE coalesce(ams, 0) + bms END AS ms FROM s),
+t AS (SELECT *, coalesce(sum(ms) OVER w, 0) > 8000 * coalesce(sum(k) OVER w, 0) AS slow FROM l WINDOW w AS (PARTITION BY d ORDER BY ts, n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+SELECT r.n, r.url, CASE WHEN r.n = t.n THEN CASE WHEN ok THEN 'fetched' ELSE 'failed' END WHEN ok THEN 'cached' ELSE 'skipped' END AS action,
+    CASE WHEN ok THEN CASE WHEN sticky OR NOT t.a THEN 'alternate' ELSE 'standard' END END AS mode, CASE WHEN r.n <> t.n THEN 0 WHEN sticky OR t.a THEN 1 ELSE 2 END::INTEGER AS calls,
+    CASE WHEN r.n = t.n THEN CASE WHEN slow THEN 15000 ELSE 30000 END END::INTEGER AS timeout_ms FROM r JOIN t USING (url)
+"""
+
+
+@query(_REPLAY_SQL)
+def crawl_memory(spark, sf_dir):
+    """What a crawl that remembers pages, failures, load times and modes does with each request of a log."""
+    return fetch.replay(_requests(spark, sf_dir))
+
+
+@query(_REPLAY_SQL)
+def crawl_memory_stream(spark, sf_dir):
+    """The same as a stream over the table, its state in a store; the stream ends when it has taken all there is."""
+    out, key = new_folder(spark, "memory"), "spark.sql.streaming.stateStore.providerClass"
+    old = spark.conf.get(key, None)
+    path = f"{sf_dir}/events.parquet"
+    events = spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{path[:-1]}[{path[-1]}]")  # a pattern may name a file
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        q = state.crawl_memory(_as_requests(events)).writeStream.option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start(f"{out}/rows")
+        q.awaitTermination()
+    finally:
+        spark.conf.unset(key) if old is None else spark.conf.set(key, old)
+    return spark.read.schema(state.MEMORY).parquet(f"{out}/rows")
+
+
 _P1, _P2 = "(page_id % 10 <> 7 AND page_id % 4 <> 1)", "(page_id % 3 <> 0)"
 
 
