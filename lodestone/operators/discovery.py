@@ -116,20 +116,19 @@ def merged(sitemap: DataFrame, nav: DataFrame) -> DataFrame:
 def balanced_top(links: DataFrame, seeds: DataFrame, limit: int = c.TOP) -> DataFrame:
     """(seed, rank, url): the homepage, then admissions and tuition in turn, then the best of the rest.
 
-    ``seeds`` has (seed, homepage); ``links`` are classified.  A URL counts at its best place.
+    ``seeds`` has (seed, homepage); ``links`` are classified.  A URL counts at its best place.  No link beyond the first ``limit`` of
+    an order can be among the chosen, so each order is cut to that by every task before the links of a site come together, and
+    only numbers of links are counted over the whole site.
     """
-    by = lambda score, flag: F.when(F.col(flag), F.row_number().over(W.partitionBy("seed", flag).orderBy(F.col(score).desc(), "url")))
-    both = F.col("is_admissions") | F.col("is_tuition")
-    ranked = links.withColumns({"a": by("admissions_score", "is_admissions"), "t": by("tuition_score", "is_tuition")})
-    ranked = ranked.withColumn("any", both).withColumn("f", F.when(both, F.row_number().over(W.partitionBy("seed", "any").orderBy(F.col("max_score").desc(), "url"))))
-    w = W.partitionBy("seed")
-    ranked = ranked.withColumn("pairs", F.least(F.count("a").over(w), F.count("t").over(w)))
-    place = lambda p, i, k: F.struct(F.lit(p).alias("p"), i.cast("long").alias("i"), F.lit(k).alias("k"))
-    options = F.array_compact(F.array(
-        F.when(F.col("a") <= F.col("pairs"), place(1, F.col("a"), 0)), F.when(F.col("t") <= F.col("pairs"), place(1, F.col("t"), 1)),
-        F.when(both, place(2, F.col("f"), 0))))
-    chosen = ranked.where(both).select("seed", "url", F.array_min(options).alias("place"))
-    home = seeds.select("seed", F.col("homepage").alias("url"), place(0, F.lit(0), 0).alias("place"))
-    best = chosen.unionByName(home).groupBy("seed", "url").agg(F.min("place").alias("place"))
-    top = best.withColumn("rank", F.row_number().over(W.partitionBy("seed").orderBy("place", "url")))
+    by = (("admissions_score", F.col("is_admissions")), ("tuition_score", F.col("is_tuition")), ("max_score", F.col("is_admissions") | F.col("is_tuition")))
+    orders = F.filter(F.array(*[F.struct(F.lit(k).alias("k"), F.col(s).alias("s"), on.alias("on")) for k, (s, on) in enumerate(by)]), lambda x: x["on"])
+    each = links.select("seed", "url", F.explode(orders).alias("x")).select("seed", "url", "x.k", "x.s")
+    best = each.withColumn("i", F.row_number().over(W.partitionBy("seed", "k").orderBy(F.desc("s"), "url"))).where(F.col("i") <= max(limit, 1))
+    pairs = links.groupBy("seed").agg(F.least(F.count_if("is_admissions"), F.count_if("is_tuition")).alias("pairs"))
+    placed = best.join(pairs, "seed").where("k = 2 OR i <= pairs")
+    place = lambda p, i, k: F.struct(F.lit(p).alias("p") if isinstance(p, int) else p.alias("p"), i.cast("long").alias("i"), k.alias("k"))
+    chosen = placed.select("seed", "url", place(F.when(F.col("k") == 2, 2).otherwise(1), F.col("i"), F.when(F.col("k") == 1, 1).otherwise(0)).alias("place"))
+    home = seeds.select("seed", F.col("homepage").alias("url"), place(0, F.lit(0), F.lit(0)).alias("place"))
+    one = chosen.unionByName(home).groupBy("seed", "url").agg(F.min("place").alias("place"))
+    top = one.withColumn("rank", F.row_number().over(W.partitionBy("seed").orderBy("place", "url")))
     return top.where((F.col("rank") <= limit) | (F.col("place.p") == 0)).select("seed", "rank", "url")

@@ -26,7 +26,7 @@ RULES = {
     "tuition": "Return every fee with its type, whole amount and currency found in the pages. Leave out what is not stated. Rate each item and the whole.",
     "deadlines": "Return every application deadline with its type, date (YYYY-MM-DD) and notes found in the pages. Leave out what is not stated. Rate each item and the whole.",
 }
-_EMAIL = r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}$"
+EMAIL_PATTERN = r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}$"
 
 
 def prompts(pages: DataFrame) -> DataFrame:
@@ -116,7 +116,7 @@ def email_guard(x: Column) -> Column:
 
 
 def valid_email(x: Column) -> Column:
-    return x.rlike(_EMAIL)
+    return x.rlike(EMAIL_PATTERN)
 
 
 def overview_value(r: str = "r") -> Column:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .. import config as c
 from ..functions import html, normalize, urls
-from ..operators import context, discovery, extract, fetch, quality
+from ..operators import context, discovery, extract, fetch, quality, validate
 from ..sources import web
 
 
@@ -43,6 +43,7 @@ class Job:
     memory: str | None = None
     fresh: str | None = None
     run_id: str = ""
+    bad: DataFrame | None = None
     read: list[DataFrame] = field(default_factory=list)
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
@@ -132,7 +133,10 @@ def discover(job: Job, seeds: DataFrame) -> DataFrame:
 
 
 def run(job: Job, raw_seeds: DataFrame) -> DataFrame:
-    """One record for each distinct raw seed: raw, seed, error and the nested columns (null where there is an error)."""
+    """One record for each distinct raw seed: raw, seed, error and the nested columns (null where there is an error).
+
+    A record that breaks a rule of ``validate.RECORD`` is an error as well; ``job.bad`` has a row for each violation.
+    """
     job.recall(raw_seeds.sparkSession)
     seeds = web.seeds(raw_seeds)
     valid = seeds.where(F.col("error").isNull()).dropDuplicates(["url"])
@@ -148,10 +152,15 @@ def run(job: Job, raw_seeds: DataFrame) -> DataFrame:
         "pos", F.struct("url", "page_title", at.alias("scraped_at"), F.col("status_code").cast("string").alias("status_code")).alias("m")))).alias("m"))
     records = job.keep(values.join(meta.select("seed", F.transform("m", lambda x: x["m"]).alias("page_metadata")), "seed"), "values")
     as_of = F.lit(job.as_of).cast("date") if job.as_of else None
-    done = job.keep(quality.report(job.keep(normalize.record(records, as_of), "normalized")), "records")
-    out = seeds.join(done.withColumnRenamed("seed", "url"), "url", "left")
-    error = F.coalesce("error", F.when(F.col("quality_report").isNull(), "no pages"))
-    return out.withColumn("error", error).withColumnRenamed("url", "seed")
+    made = quality.report(job.keep(normalize.record(records, as_of), "normalized"))
+    made = job.keep(made.withColumn("violations", validate.violations(validate.known(validate.RECORD, made))), "records")
+    job.bad = job.keep(made.select("seed", F.explode("violations").alias("v")).select("seed", "v.*"), "quarantine")
+    done = made.withColumn("invalid", F.size("violations") > 0).drop("violations")
+    whole = [c_ for c_ in done.columns if c_ not in ("seed", "invalid")]
+    done = done.select(F.col("seed").alias("url"), "invalid", *[F.when(~F.col("invalid"), F.col(x)).alias(x) for x in whole])
+    out = seeds.join(done, "url", "left")
+    error = F.coalesce("error", F.when(F.col("invalid"), "invalid record").when(F.col("invalid").isNull(), "no pages"))
+    return out.withColumn("error", error).drop("invalid").withColumnRenamed("url", "seed")
 
 
 def summary(records: DataFrame) -> DataFrame:

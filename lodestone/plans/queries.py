@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from .. import config as c
 from ..functions import html, normalize, urls
 from ..functions.text import squeeze
-from ..operators import context, discovery, extract, fetch, pool, quality
+from ..operators import context, discovery, extract, fetch, pool, quality, validate
 from ..sources import sinks, web
 from ..streaming import state
 from . import etl
@@ -514,6 +514,43 @@ def quality_issues(spark, sf_dir):
     return r.select("seed", F.explode("quality_report.issues").alias("i")).select("seed", "i.severity", "i.category", "i.message")
 
 
+_RULES = (
+    validate.Rule("overview.university_name", "required"), validate.Rule("overview.location.city", "one_of", ("BUILDING", "MACHINERY")), validate.Rule("overview.contact.email", "matches", r"^[^@]+@[a-z]+\.[a-z]+$"),
+    validate.Rule("tuition_breakdown", "most", 12), validate.Rule("tuition_breakdown[].cost", "between", (20_000, 250_000)), validate.Rule("tuition_breakdown[].cost", "required"),
+    validate.Rule("admission_deadlines[].deadline_type", "one_of", ("Early Decision", "Regular Decision")), validate.Rule("admission_deadlines[].deadline_date", "matches", r"^\d{4}-\d{2}-\d{2}$"),
+)
+
+
+@query("""
+WITH c AS (SELECT c_custkey AS k, c_name AS name, c_mktsegment AS city, c_custkey % 11 <> 0 AS ov, CASE WHEN c_custkey % 4 = 0 THEN 'bad@' WHEN c_custkey % 4 = 1 THEN 'a@b.c' END AS email FROM customer),
+o AS (SELECT o_custkey AS k, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS i, CASE WHEN o_orderkey % 9 <> 0 THEN (floor(o_totalprice / 1000) * 1000)::BIGINT END AS cost,
+    o_orderpriority AS p, CASE WHEN o_orderkey % 6 = 0 THEN 'soon' ELSE strftime(o_orderdate, '%Y-%m-01') END AS d FROM orders JOIN c ON o_custkey = k),
+t AS (SELECT *, CASE p WHEN '1-URGENT' THEN 'Regular Decision' WHEN '2-HIGH' THEN 'Whenever' END AS t FROM o)
+SELECT k AS seed, 'overview.university_name' AS path, 'required' AS rule, NULL AS value FROM c WHERE ov AND k % 5 = 0
+UNION ALL SELECT k, 'overview.location.city', 'one_of', city FROM c WHERE ov AND k % 7 <> 0 AND city NOT IN ('BUILDING', 'MACHINERY')
+UNION ALL SELECT k, 'overview.contact.email', 'matches', email FROM c WHERE ov AND k % 2 = 0 AND email = 'bad@'
+UNION ALL SELECT k, 'tuition_breakdown', 'most', count(*)::VARCHAR FROM t GROUP BY k HAVING count(*) > 12
+UNION ALL SELECT k, 'tuition_breakdown[' || i || '].cost', 'between', cost::VARCHAR FROM t WHERE cost NOT BETWEEN 20000 AND 250000
+UNION ALL SELECT k, 'tuition_breakdown[' || i || '].cost', 'required', NULL FROM t WHERE cost IS NULL
+UNION ALL SELECT k, 'admission_deadlines[' || i || '].deadline_type', 'one_of', t FROM t WHERE t = 'Whenever'
+UNION ALL SELECT k, 'admission_deadlines[' || i || '].deadline_date', 'matches', d FROM t WHERE d = 'soon'
+""")
+def record_violations(spark, sf_dir):
+    """Every violation of nested records with planted faults."""
+    orders = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "o_orderpriority", "o_totalprice", "o_orderdate"))).alias("o"))
+    r = table(spark, sf_dir, "customer").join(orders, F.col("c_custkey") == F.col("o_custkey"), "left")
+    k = F.col("c_custkey")
+    kind = lambda p: F.when(p == "1-URGENT", "Regular Decision").when(p == "2-HIGH", "Whenever")
+    records = r.select(
+        k.alias("seed"),
+        F.when(k % 11 != 0, F.struct(
+            F.when(k % 5 != 0, F.col("c_name")).alias("university_name"), F.when(k % 7 != 0, F.struct(F.col("c_mktsegment").alias("city"))).alias("location"),
+            F.when(k % 2 == 0, F.struct(F.when(k % 4 == 0, "bad@").when(k % 4 == 1, "a@b.c").alias("email"))).alias("contact"))).alias("overview"),
+        F.transform("o", lambda x: F.struct(F.when(x["o_orderkey"] % 9 != 0, (F.floor(x["o_totalprice"] / 1000) * 1000).cast("bigint")).alias("cost"))).alias("tuition_breakdown"),
+        F.transform("o", lambda x: F.struct(kind(x["o_orderpriority"]).alias("deadline_type"), F.when(x["o_orderkey"] % 6 == 0, "soon").otherwise(F.date_format(x["o_orderdate"], "yyyy-MM-'01'")).alias("deadline_date"))).alias("admission_deadlines"))
+    return validate.quarantine(records, rules=_RULES)
+
+
 @query("SELECT user_id AS domain, avg(value * 100) AS avg_ms, avg(value * 100) > 8000 AS slow, CASE WHEN avg(value * 100) > 8000 THEN 15000 ELSE 30000 END AS timeout_ms FROM events GROUP BY user_id")
 def domain_latency(spark, sf_dir):
     ev = table(spark, sf_dir, "events").select(F.concat(F.lit("https://"), "user_id", F.lit("/x")).alias("url"), (F.col("value") * 100).alias("fetch_time_ms"))

@@ -39,6 +39,15 @@ def test_balanced_top_is_greedy(spark):
     assert got == want
 
 
+def test_balanced_top_is_cut_before_the_shuffle(spark):
+    df = discovery.classified(spark.createDataFrame([], "seed int, url string, admissions_score double, tuition_score double"))
+    seeds = spark.range(0).select(F.col("id").cast("int").alias("seed"), F.lit("h").alias("homepage"))
+    plan = discovery.balanced_top(df.union(df), seeds)._jdf.queryExecution().executedPlan().toString()
+    lines = [x.strip(" +-:") for x in plan.splitlines()]
+    first = next(i for i, x in enumerate(lines) if "WindowGroupLimit" in x and "Partial" in x)
+    assert any("Exchange" in x for x in lines[:first]) and sum("WindowGroupLimit" in x and "Partial" in x for x in lines) == 1
+
+
 def test_scores(spark):
     rows = [("https://x.edu/apply/", "Apply", "nav-nav", 1, 0.8624999999999999), ("https://x.edu/apply/", "", "nav-nav", 1, 0.45999999999999996), ("https://x.edu/", "apply", "nav-depth2", 2, 0.36224999999999996)]
     df = spark.createDataFrame(rows, "url string, anchor_text string, source string, depth int, want double")
