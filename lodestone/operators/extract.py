@@ -7,9 +7,12 @@ function for each prompt, in batches of a partition.  Everything around it is de
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Callable as Fn
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -104,6 +107,95 @@ class Pooled:
         return dealt.repartitionByRange(n, "slot_key").mapInPandas(run, "seed string, extraction_type string, response_json string, model string, error string")
 
 
+_TRIED = "seed string, extraction_type string, slot int, model string, response_json string, error string, outcome string, at double"
+
+
+class Rounds:
+    """Responses of ``ask(key, model, extraction_type, prompt) -> json`` by all slots of the cluster, in rounds.
+
+    In a round each live slot (a key and a model) has one task, which alone uses it, so its delay holds over the whole cluster.
+    A prompt begins at a slot of its own and goes, round by round, to the next slots in turn until one answers: failing costs it
+    the slot, a limited slot hands the rest of its prompts on, and whatever key has room takes them.  Where no slot is left, all
+    wait, limits are cleared and the next rotation begins; after the last, prompts stay without an answer.
+
+    Attempts are written below ``folder`` (shared by all executors) round by round: a lost executor repeats one round of one
+    slot at most, after its delay.  The driver keeps a line for each slot.  At most ``most`` prompts of a slot are asked in a
+    round, so that slots that have gone through theirs take over others'.
+    """
+
+    def __init__(self, ask: Fn[[str, str, str, str], str], keys: list[str], folder: str, config: c.PoolConfig = c.PoolConfig(), most: int = 100, clock=time.time, sleep=time.sleep):
+        self.ask, self.keys, self.folder, self.config, self.most, self.clock, self.sleep = ask, list(keys), folder, config, most, clock, sleep
+        self.slots = [(k, m) for m in config.models for k in self.keys]
+        self.stats = [{"requests": 0, "failures": 0, "limited": False, "last": None} for _ in self.slots]
+
+    def _round(self, dealt: DataFrame, path: str) -> None:
+        """Asks ``dealt`` (slot and prompt) and writes what came of it."""
+        ask, slots, clock, sleep, most = self.ask, self.slots, self.clock, self.sleep, self.most
+        last = [s["last"] for s in self.stats]
+
+        def run(batches):
+            context = TaskContext.get()
+            used: dict[int, float | None] = {}
+            asked: dict[int, int] = {}
+            limited: set[int] = set()
+            for pdf in batches:
+                rows = []
+                for r in pdf.itertuples():
+                    key, model = slots[r.slot]
+                    if r.slot not in used:  # a repeated task does not know when the lost one asked
+                        used[r.slot] = clock() if context and context.attemptNumber() else last[r.slot]
+                    if r.slot in limited or asked.get(r.slot, 0) >= most:
+                        continue  # left for the next round
+                    if used[r.slot] is not None and (rest := model.delay - (clock() - used[r.slot])) > 0:
+                        sleep(rest)
+                    asked[r.slot] = asked.get(r.slot, 0) + 1
+                    try:
+                        answer, error, outcome = ask(key, model.name, r.extraction_type, r.prompt), None, "answered"
+                        used[r.slot] = clock()
+                    except Exception as e:  # a failing slot is data
+                        answer, error, outcome = None, str(e), "limited" if pool.is_limited(str(e)) else "failed"
+                        limited |= {r.slot} if outcome == "limited" else set()
+                    rows.append((r.seed, r.extraction_type, r.slot, model.name, answer, error, outcome, used[r.slot]))
+                yield pd.DataFrame(rows, columns=[x.split()[0] for x in _TRIED.split(", ")])
+
+        spread = dealt.repartitionById(len(slots), F.col("slot"))
+        spread.mapInPandas(run, _TRIED).write.mode("overwrite").parquet(path)
+
+    def extract(self, asked: DataFrame) -> DataFrame:
+        ship()
+        spark, key, n = asked.sparkSession, ["seed", "extraction_type"], len(self.slots)
+        root = f"{self.folder}/rounds-{uuid.uuid4().hex}"
+        read = lambda: spark.read.schema(f"{_TRIED}, rotation int, round int").parquet(root)
+        begin = asked.select(*key, "prompt", F.pmod(F.xxhash64(*key), F.lit(n)).cast("int").alias("first"))
+        rotation = turn = 0
+        while True:
+            todo = begin
+            if turn:
+                tried = read()
+                mine = tried.where((F.col("rotation") == rotation) & (F.col("outcome") != "answered")).groupBy(*key).agg(F.collect_set("slot").alias("tried"))  # at most the slots
+                todo = todo.join(tried.where("outcome = 'answered'").select(*key), key, "left_anti").join(mine, key, "left")
+            live = [i for i, s in enumerate(self.stats) if not s["limited"]]
+            order = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda k: F.pmod(F.col("first") + k, F.lit(n)))
+            left = F.coalesce(F.col("tried"), F.array().cast("array<int>")) if turn else F.array().cast("array<int>")
+            slot = F.get(F.filter(order, lambda k: k.isin(live) & ~F.array_contains(left, k)), F.lit(0)) if live else F.lit(None).cast("int")
+            self._round(todo.withColumn("slot", slot).where("slot is not null").select("slot", *key, "prompt"), f"{root}/rotation={rotation}/round={turn}")
+            now = read().where(F.col("round") == turn).groupBy("slot").agg(
+                F.count_if(F.col("outcome") == "answered").alias("good"), F.count_if(F.col("outcome") != "answered").alias("bad"), F.max(F.col("outcome") == "limited").alias("limited"), F.max("at").alias("at")).collect()
+            for r in now:
+                s = self.stats[r.slot]
+                s.update(requests=s["requests"] + r.good, failures=s["failures"] + r.bad, limited=r.limited, last=r.at)
+            turn += 1
+            if not now:  # no slot is left to any prompt
+                rotation += 1
+                if rotation >= self.config.rotations or not begin.join(read().where("outcome = 'answered'").select(*key), key, "left_anti").limit(1).count():
+                    break
+                self.sleep(self.config.wait)
+                for s in self.stats:
+                    s["limited"] = False
+        answers = read().where("outcome = 'answered'").select(*key, "response_json", "model")
+        return begin.select(*key).join(answers, key, "left").withColumn("error", F.when(F.col("response_json").isNull(), "no slot answered"))
+
+
 def typed(responses: DataFrame, kind: str, schema: str) -> DataFrame:
     """Adds ``r``: the answer by its schema, null where it is missing or does not fit."""
     read = F.from_json("response_json", f"{schema}, _corrupt string", {"columnNameOfCorruptRecord": "_corrupt"})

@@ -34,6 +34,10 @@ def rate_limited(error, words=c.RATE_LIMITED) -> Column:
     return F.lower(col(error)).rlike(c.any_of(words, escape=True))
 
 
+def is_limited(error: str, words=c.RATE_LIMITED) -> bool:
+    return any(w in error.lower() for w in words)
+
+
 def throttle(
     attempts: DataFrame, delays: dict[str, float], default: float = 7.0, key=("key_index", "model"), ts: str = "ts", ok: str = "ok",
     order: tuple[str, ...] = (), every: str = "hour",
@@ -85,7 +89,7 @@ class SlotPool:
                     answer = ask(key, model.name)
                 except Exception as e:  # a failing slot is data of the pool
                     s["failures"] += 1
-                    s["limited"] = any(w in str(e).lower() for w in c.RATE_LIMITED)
+                    s["limited"] = is_limited(str(e))
                     continue
                 s["requests"] += 1
                 s["last"] = self.clock()

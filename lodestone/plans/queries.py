@@ -590,6 +590,25 @@ def slot_table(spark, sf_dir):
     return pool.slot_table(spark, 3)
 
 
+@query("SELECT c_custkey::VARCHAR AS seed, c_custkey % 11 <> 0 AS answered, CASE WHEN c_custkey % 11 = 0 THEN 0 ELSE 1 END::BIGINT AS answers, c_custkey % 11 <> 0 AS allowed, CASE WHEN c_custkey % 11 = 0 THEN 'no slot answered' END AS error FROM customer")
+def slot_rounds(spark, sf_dir):
+    """Prompts of each customer through nine slots: one key is exhausted, one model refuses some, some prompts no slot answers."""
+
+    def ask(key, model, kind, prompt):
+        k = int(prompt)
+        if key == "k1":
+            raise RuntimeError("HTTP 429: quota")
+        if k % 11 == 0 or model == "newest" and k % 3 == 0:
+            raise RuntimeError("bad json")
+        return f"{key} {model} {k}"
+
+    asked = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("seed"), F.lit("overview").alias("extraction_type"), F.col("c_custkey").cast("string").alias("prompt"))
+    config = c.PoolConfig(models=tuple(c.Model(m.name, 0.0) for m in c.PoolConfig().models), wait=0.0)
+    got = extract.Rounds(ask, ["k0", "k1", "k2"], new_folder(spark, "rounds"), config, most=1_000_000).extract(asked)
+    right = F.col("response_json").rlike("^k[02] ") & ~((F.col("model") == "newest") & (F.col("seed").cast("long") % 3 == 0))
+    return got.groupBy("seed", "error").agg(F.count("response_json").alias("answers"), F.coalesce(F.max(right), F.lit(False)).alias("allowed")).withColumn("answered", F.col("answers") > 0)
+
+
 _CONF = [(1, "U", "high", "C", "high", None, "high", "1", "high"), (2, "U", "high", None, "high", "PA", "low", None, "low"), (3, None, None, None, None, None, None, None, None), (4, "U", "low", "C", "medium", "PA", "low", "1", "low")]
 
 

@@ -190,6 +190,46 @@ def test_pooled_model(spark):
     assert sum(r.error is None for r in got.values()) >= 10
 
 
+def test_rounds(spark, tmp_path):
+    """Each slot keeps its delay over all tasks; prompts of an exhausted key go to the others, in turn; the rest have no answer."""
+    import os
+    import time
+    import uuid
+
+    notes = tmp_path / "notes"
+    notes.mkdir()
+
+    def ask(key, model, kind, prompt):
+        with open(os.path.join(str(notes), uuid.uuid4().hex), "w") as f:
+            f.write(f"{time.time()} {key} {model} {prompt}")
+        if key == "k0":
+            raise RuntimeError("429 quota")
+        if prompt == "p7" or model == "b" and prompt in ("p1", "p2"):
+            raise RuntimeError("broken")
+        return f"{key} {model} {prompt}"
+
+    asked = spark.createDataFrame([(f"s{i}", "overview", [], f"p{i}") for i in range(24)], "seed string, extraction_type string, source_urls array<string>, prompt string")
+    adapter = extract.Rounds(ask, ["k0", "k1", "k2"], str(tmp_path), c.PoolConfig(models=(c.Model("a", 0.2), c.Model("b", 0.1)), rotations=2, wait=0.0), most=3)
+    got = {r.seed: r for r in adapter.extract(asked).collect()}
+    assert len(got) == 24 and got["s7"].error == "no slot answered" and got["s7"].model is None
+    assert all(r.error is None and r.response_json.split()[0] in ("k1", "k2") and r.response_json.endswith(f" p{s[1:]}") for s, r in got.items() if s != "s7")
+    calls = sorted((float(t), k, m, p) for t, k, m, p in (f.read_text().split() for f in notes.iterdir()))
+    slots = [(k, m) for m in "ab" for k in ("k0", "k1", "k2")]
+    answered = {tuple(r.response_json.split()) for r in got.values() if r.response_json}
+    for key, model in slots:
+        good = [t for t, k, m, p in calls if (k, m) == (key, model) and (k, m, p) in answered]
+        assert all(b - a >= (0.19 if model == "a" else 0.09) for a, b in zip(good, good[1:]))
+    # every prompt goes through its slots in turn
+    for i in range(24):
+        mine = [slots.index((k, m)) for _, k, m, p in calls if p == f"p{i}"]
+        steps = [(b - a) % 6 for a, b in zip(mine, mine[1:])]
+        assert i == 7 or sum(steps) < 6
+    asked7 = [(k, m) for _, k, m, p in calls if p == "p7"]
+    assert len(asked7) >= 8 and set(asked7) >= {(k, m) for k in ("k1", "k2") for m in "ab"}  # twice through all that answer
+    assert sum(s["requests"] for s in adapter.stats) == 23 and all(s["failures"] for s in adapter.stats[:1])
+    assert extract.Rounds(ask, ["k1"], str(tmp_path)).extract(asked.limit(0)).count() == 0
+
+
 def test_broken_answers(spark):
     """An answer that is no JSON, or does not fit its schema, is a failed one."""
     rows = spark.createDataFrame([("a", "tuition", "{broken"), ("b", "tuition", '{"items": [{"cost": 5}]}'), ("c", "tuition", "")], "seed string, extraction_type string, response_json string")
