@@ -27,16 +27,20 @@ _HUGE = re.compile(r"&#(?:[0-9]{8,}|[xX][0-9a-fA-F]{7,});?")
 _NAME = re.compile(r"[a-z]+")
 
 
+#: Elements that say what they hold, and names that do not.
+_MEANT = frozenset(("nav", "header", "footer", "aside", "article", "main", "dialog", "menu"))
+_NEUTRAL = frozenset("wrapper wrap container page layout site root row col column inner outer grid app".split())
 _REGIONS = frozenset(("nav", "header", "footer", "aside", "article", "main", "section", "table", "ul", "ol", "figure", "dialog", "menu"))
 
 
 class Node:
-    __slots__ = ("tag", "parent", "names", "label", "silent", "own", "linked", "total", "total_linked", "children", "anc")
+    __slots__ = ("tag", "parent", "names", "label", "silent", "own", "linked", "total", "total_linked", "children", "anc", "plain")
 
     def __init__(self, tag, parent, names=(), label=None, silent=False):
         self.tag, self.parent, self.names, self.label, self.silent = tag, parent, names, label, silent
         self.own = self.linked = self.total = self.total_linked = self.children = 0
         self.anc = frozenset()
+        self.plain = True
 
 
 def unescape(raw: str) -> str:
@@ -149,6 +153,7 @@ def parse(page: str, labelled: bool = False) -> tuple[list[Node], list[tuple[int
             parent = nodes[k]
             node = Node(tag, k, names, label if label is not None else parent.label, parent.silent or tag in SILENT)
             node.anc = parent.anc | {parent.tag} if parent.tag in _REGIONS else parent.anc
+            node.plain = parent.plain and tag not in _MEANT and _NEUTRAL.issuperset(names)
             parent.children += 1
             nodes.append(node)
             k = len(nodes) - 1
@@ -184,8 +189,11 @@ def features(x: Node) -> list[str]:
     own_share = 4 * x.linked // x.own if x.own else 9
     all_share = 4 * x.total_linked // x.total if x.total else 9
     out = [f"tag {x.tag}", f"own {_step(x.own)} {own_share}", f"all {_step(x.total)} {all_share}", f"links {all_share}"]
+    if x.plain:  # neither it nor what it stands in says what it is
+        out += [f"plain {x.tag}", f"plain {_step(x.own)} {own_share}", f"plain all {_step(x.total)} {all_share}"]
     out += [f"name {t}" for t in x.names]
-    out += [f"in {t}" for t in x.anc]
+    for t in x.anc:
+        out += [f"in {t}", f"in {t} {x.tag} {own_share}"] if t in _MEANT else [f"in {t}"]
     return out
 
 

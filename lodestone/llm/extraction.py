@@ -11,6 +11,7 @@ from __future__ import annotations
 import functools
 import math
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -21,7 +22,7 @@ from .common import bounded_batches, one_column, table
 from .dom import Node, features, parse, text_of
 from .labelled import sparse_logistic
 
-PAGES, SEED = 500, 11
+PAGES, SEED = 1300, 11
 
 # --- labelled pages ---
 
@@ -77,6 +78,8 @@ class _Writer:
             inner = r.choice(["", f"<h3>{self.words(1, 3)}</h3>"]) + r.choice([self.links(2, 7), f"<p>{self.words(3, 25)}</p>", self.words(2, 12)])
         else:
             inner = r.choice([self.words(2, 20), f"<p>{self.words(3, 25)}</p>", f'<a href="#">{self.words(1, 6)}</a>', f"{self.words(2, 10)} <button>{self.words(1, 2)}</button>"])
+        if tag == "p":  # it cannot hold blocks
+            inner = re.sub(r"</?p>", "", inner)
         if tag in ("ul", "ol", "menu"):
             inner = inner if inner.startswith("<li") else f"<li>{inner}</li>"
         return f'<{tag}{self.attr(names, often)} data-label="0">{inner}</{tag}>'
@@ -108,12 +111,28 @@ class _Writer:
             if r.random() < 0.2:
                 body.insert(r.randint(0, len(body)), self.noise(kind))
         title = r.choice([f"<h1>{self.words(1, 9)}</h1>", f"<h1>{self.words(1, 9)}</h1>", f"<h2>{self.words(1, 9)}</h2>", ""])
-        inner = title + "".join(body)
-        wrap = r.choice(["article", "article", "main", "div", "div", "section", "nested", "td"])
+        inner, own = title + "".join(body), "0"
+        wrap = r.choice(["article", "article", "article", "main", "main", "div", "div", "div", "section", "nested", "td", "bare", "bare", "plain", "plain", "old", "linked", "lines"])
         if wrap == "nested":
             inner = f'<main data-label="1"><article data-label="1"><div{self.attr(_MAIN)}>{inner}</div></article></main>'
         elif wrap == "td":
             inner = f'<table><tr><td data-label="0">{self.links(2, 6)}</td><td data-label="1">{inner}</td></tr></table>'
+        elif wrap == "bare":  # blocks stand in the body or in a wrapper without a meaning
+            inner = "".join(x if "data-label" in x[: x.find(">")] else re.sub(r"^<(\w+)", r'<\1 data-label="1"', x) for x in (title, *body))
+        elif wrap == "plain":
+            tag = r.choice(["div", "div", "section"])
+            inner = f'<{tag} data-label="1">{inner}</{tag}>'
+            inner = f'<div data-label="1">{inner}</div>' if r.random() < 0.3 else inner
+        elif wrap == "old":
+            tag = r.choice(["center", "td", "div align=left", "blockquote"])
+            inner = f'<{tag} data-label="1"><font size="2">{inner}</font></{tag.split()[0]}>'
+            inner = f"<table><tr>{inner}</tr></table>" if tag == "td" else inner
+        elif wrap == "linked":  # an article of few words, each paragraph a link
+            tag = r.choice(["article", "main", "section", "div"])
+            inner = title + "".join(f'<p><a href="/{k}">{self.words(4, 40)}</a></p>' for k in range(r.randint(1, 5)))
+            inner = f'<{tag}{self.attr(_MAIN, 0.4 if tag in ("article", "main") else 1.0)} data-label="1">{inner}</{tag}>'
+        elif wrap == "lines":  # text that no block holds
+            inner, own = r.choice(["<br>", "<br><br>"]).join(self.words(5, 60) for _ in range(r.randint(2, 8))), "1"
         else:
             inner = f'<{wrap}{self.attr(_MAIN, 0.4 if wrap in ("article", "main") else 1.0)} data-label="1">{inner}</{wrap}>'
         top = [self.noise(k) for k in ("header", "nav", "notice", "ad") if r.random() < 0.5]
@@ -122,9 +141,9 @@ class _Writer:
         if r.random() < 0.3:
             end = [x for x in end if r.random() < 0.7]
         whole = "".join(top) + inner + "".join(end)
-        if r.random() < 0.35:
+        if own == "0" and r.random() < 0.35:
             whole = f'<div{self.attr(["wrapper", "container", "page", "layout", "site", "root"])}>{whole}</div>'
-        return f'<html><head><title>{self.words(1, 6)}</title></head><body data-label="0">{whole}</body></html>'
+        return f'<html><head><title>{self.words(1, 6)}</title></head><body data-label="{own}">{whole}</body></html>'
 
 
 def labelled_pages(n: int = PAGES, seed: int = SEED) -> list[str]:
@@ -136,7 +155,7 @@ def labelled_pages(n: int = PAGES, seed: int = SEED) -> list[str]:
 
 
 def _kind(x: Node) -> str:
-    return f"{x.tag} named" if x.names else x.tag
+    return f"plain {x.tag}" if x.plain else f"{x.tag} named" if x.names else x.tag
 
 
 class TreeModel:
@@ -184,7 +203,7 @@ def train(n: int = PAGES, seed: int = SEED) -> TreeModel:
             above = nodes[x.parent].label
             pairs.setdefault(_kind(x), Counter())[int(above or 0), int(x.label)] += 1
     y = np.array(y, float)
-    w = sparse_logistic(rows, y, len(names), np.ones(len(y)), l2=0.3)
+    w = sparse_logistic(rows, y, len(names), np.ones(len(y)), l2=0.03)
     seen = np.bincount(np.concatenate(rows), minlength=len(names))
     unary = {f: float(w[i]) for f, i in names.items() if seen[i] >= 2}
     base = y.mean()
