@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
@@ -64,12 +65,32 @@ def shared_dir(spark: SparkSession) -> str:
     return _own_dir.setdefault("dir", tempfile.mkdtemp(prefix="lodestone-"))
 
 
+_watched: list[list[Durable]] = []
+
+
+@contextlib.contextmanager
+def temporary():
+    """Removes the tables that operators write within, once what was made of them has been written elsewhere."""
+    _watched.append([])
+    try:
+        yield
+    finally:
+        for store in _watched.pop():
+            store.clear()
+
+
 class Durable:
     """Tables written to the shared folder, so that lineage ends there and a lost executor costs no recomputation."""
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark, self.root = spark, f"{shared_dir(spark)}/lodestone/{label}-{uuid.uuid4().hex}"
         self.n = 0
+        for stores in _watched[-1:]:
+            stores.append(self)
+
+    def clear(self) -> None:
+        """Removes all its tables."""
+        self._delete(self.root)
 
     def write(self, df: DataFrame) -> DataFrame:
         path = f"{self.root}/{self.n}"
@@ -81,9 +102,11 @@ class Durable:
 
     def drop(self, df: DataFrame) -> None:
         """Removes a table that ``write`` returned and nothing reads any more."""
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(df._durable_path)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        self._delete(df._durable_path)
+
+    def _delete(self, path: str) -> None:
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def bounded_batches(spark: SparkSession) -> None:

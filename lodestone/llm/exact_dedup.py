@@ -1,8 +1,8 @@
 """Exact deduplication with a heavy-hitter split (DataFrame functions only).
 
 A Misra-Gries summary over the digests names the few that may be frequent.  Those are counted exactly, and the ones that
-hold more than the support are a table of at most ``1 / support`` rows, which is broadcast, so rows of hot groups are decided
-where they are read and never meet in one task.  All other digests are counted by partial sums; only those on two or more rows
+hold more than the support are a table of at most ``1 / support`` rows (with those hot by their exact count, ``MOST``), which is
+broadcast, so rows of hot groups are decided where they are read and never meet in one task.  All other digests are counted by partial sums; only those on two or more rows
 are joined back, each to fewer rows than the support, and no group is ever held in memory.
 """
 
@@ -13,8 +13,14 @@ from pyspark.sql import functions as F
 
 from .common import Durable, few, free_name, table
 
-#: Digests in more than this share of the rows are frequent, or those on more than HOT rows where that is less, down to LEAST.
-SUPPORT, HOT, LEAST = 1 / 256, 1 << 20, 1 / 32768
+#: Digests in more than this share of the rows are frequent, and those on more than HOT rows, or on more than one in MOST of them:
+#: there are at most that many.  A summary takes no share below LEAST.
+SUPPORT, HOT, MOST, LEAST = 1 / 256, 1 << 20, 200_000, 1e-4
+
+
+def _bars(total: int) -> tuple[float, int]:
+    """The share of rows that the summary looks for, and the rows of a digest from which on it is hot by its exact count."""
+    return min(SUPPORT, max(LEAST, HOT / max(total, 1))), max(HOT, total // MOST)
 
 
 def _digest(text: Column) -> Column:
@@ -26,13 +32,16 @@ def _groups(df: DataFrame, id_col: str, text: Column, support: float | None) ->
     store = Durable(df.sparkSession, "exact")
     rows = store.write(df.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("rid"), _digest(text).alias("digest")))
     total = rows.count()
-    support = support or min(SUPPORT, max(LEAST, HOT / max(total, 1)))
+    share, bar = _bars(total)
+    support = support or share
     best = [F.max(F.struct("id", "rid")).alias("best"), F.count("*").alias("n")]
     frequent = rows.stat.freqItems(["digest"], support).select(F.explode("digest_freqItems").alias("digest"))
     # counted exactly; partial sums leave few rows for the shuffle
     winners = store.write(rows.join(F.broadcast(frequent), "digest").groupBy("digest").agg(*best).where(F.col("n") > total * support))
-    cold = rows.join(F.broadcast(winners.select("digest")), "digest", "left_anti").groupBy("digest").agg(*best).where("n > 1")
-    return rows, winners, store.write(cold)
+    cold = store.write(rows.join(F.broadcast(winners.select("digest")), "digest", "left_anti").groupBy("digest").agg(*best).where("n > 1"))
+    if total * support > bar:  # more rows than the summary can tell apart: the counts themselves name the rest of the hot ones
+        winners, cold = winners.unionByName(cold.where(F.col("n") > bar)), cold.where(F.col("n") <= bar)
+    return rows, winners, cold
 
 
 def group_copies(

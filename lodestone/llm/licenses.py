@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bind, table
+from .common import Durable, bind, table
 from .labelled import sparse_softmax
 
 GRAMS, CONFIRM, UNKNOWN = (1, 2, 3), 0.5, "unknown"
@@ -176,20 +176,24 @@ def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     )
 
 
-def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    """Counts of paragraphs with a licence, of unknown and of confirmed ones, families by name, and the surest family's probability."""
+def summary(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """A row for each row: id, paragraphs with a licence, of unknown and of confirmed ones, families by name, the surest one's probability.
+
+    Rows are numbered where they are read, and what is found of one is joined to its number, so repeated rows give equal results.
+    """
     known = F.col("family") != UNKNOWN
-    found = classify(docs).groupBy("doc_id").agg(
-        F.count_if(known).alias("n_licensed"),
-        F.count_if(~known).alias("n_unknown"),
-        F.count_if("confirmed").alias("n_confirmed"),
+    rows = Durable(docs.sparkSession, "licenses").write(
+        docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), F.when(F.col(text_col).rlike(_GATE), F.col(text_col)).alias("text")))
+    found = classify(rows, "row").groupBy("row").agg(
+        F.count_if(known).alias("n_licensed"), F.count_if(~known).alias("n_unknown"), F.count_if("confirmed").alias("n_confirmed"),
         F.array_join(F.sort_array(F.collect_set(F.when(known, F.col("family")))), ",").alias("families"),
-        F.round(F.coalesce(F.max(F.when(known, F.col("score"))), F.lit(0.0)), 6).alias("score"),
-    )
+        F.round(F.coalesce(F.max(F.when(known, F.col("score"))), F.lit(0.0)), 6).alias("score"))
     none = {"n_licensed": 0, "n_unknown": 0, "n_confirmed": 0, "families": "", "score": 0.0}
-    found = found.withColumnRenamed("doc_id", "__id")
-    return docs.select("doc_id").join(found, F.col("doc_id").eqNullSafe(F.col("__id")), "left").drop("__id").fillna(none)
+    return rows.select(F.col("id").alias(id_col), "row").join(found, "row", "left").drop("row").fillna(none)
+
+
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return summary(table(spark, sf_dir, "documents"))
 
 
 def best_of(w: list[str]) -> tuple[str, float]:

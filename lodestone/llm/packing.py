@@ -33,7 +33,8 @@ PHASES, ROUNDS, PASSES = 5, 3, 8
 #: best value that a configuration may lack.
 LEAN, RATE, SLACK = 1.15, 0.3, 1 / 512
 #: Words whose ids a worker remembers, about 200 bytes each, in two halves: when one is full, the older one is forgotten.
-REMEMBERED = 700_000
+#: Words of more characters than LONG are not remembered.
+REMEMBERED, LONG = 700_000, 64
 #: Texts within these blocks of characters are lower-cased here, as the vocabulary's own rule does it.
 _TAIL = ",.!?;:*#$%&"
 _PLAIN = re.compile("[^\x00-\u012f\u0131-\u024f]")
@@ -87,7 +88,10 @@ class Tokens:
         known.update(zip(missing, self._ids(missing)))
         for w, core, tail in tailed:
             known[w] = known[core] + known[tail]
-        return [b"".join(map(known.__getitem__, words)) + self.end for words in split]
+        out = [b"".join(map(known.__getitem__, words)) + self.end for words in split]
+        for w in {x for x in missing if len(x) > LONG} | {w for w, _, _ in tailed if len(w) > LONG}:
+            del known[w]
+        return out
 
 
 def default_vocabulary() -> str:

@@ -23,8 +23,8 @@ from .labelled import class_counts, held_out, sample_labels, sparse_logistic, wi
 #: Labelled documents of each class the model is fitted on, and features it keeps.
 FIT_PER_CLASS, FEATURES, BUCKETS = 4000, 4096, 1 << 20
 PREFIXES, THRESHOLD = range(3, 8), 0.5
-#: Tokens a worker remembers.
-REMEMBERED = 250_000
+#: Bytes of what a worker remembers of tokens, and the longest token it does so for.
+REMEMBERED, LONG = 64 << 20, 64
 
 #: Letters a sign may stand for.
 SIGNS = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t"}
@@ -139,19 +139,36 @@ def features(words) -> set[int]:
     return {xxhash.xxh32_intdigest(x.encode("utf-8", "surrogatepass")) % BUCKETS for x in names}
 
 
-def _of_text(text: str, restorer: Restorer, known: dict, chosen) -> set[int]:
+class _Known(dict):
+    """What was found of short tokens, at most about ``REMEMBERED`` bytes of it; long tokens are not remembered."""
+
+    def __init__(self):
+        super().__init__()
+        self.room = REMEMBERED
+
+    def keep(self, token: str, have: frozenset) -> None:
+        if len(token) > LONG:
+            return
+        size = 200 + 100 * len(have)  # of a token, its set and the numbers in it
+        if size > self.room:
+            self.clear()
+            self.room = REMEMBERED
+        self.room -= size
+        self[token] = have
+
+
+def _of_text(text: str, restorer: Restorer, known: _Known, chosen) -> set[int]:
     """Chosen features of a whole text; the choice for each token is remembered."""
     found: set[int] = set()
     low = text.lower()
     for token in set(low.split()):
         have = known.get(token)
         if have is None:
-            if len(known) > REMEMBERED:
-                known.clear()
             have = features(restorer.words(token))
             if chosen is not None:
                 have = have & chosen
-            known[token] = have = frozenset(have) or _NONE
+            have = frozenset(have) or _NONE
+            known.keep(token, have)
         if have:
             found |= have
     for word in restorer.spaced(low):
@@ -202,7 +219,7 @@ def fit(
 
     def run(batches):
         release()
-        restorer, known = Restorer(sent.value), {}
+        restorer, known = Restorer(sent.value), _Known()
         for batch in batches:
             texts = one_column(batch, "text").to_pylist()
             active = [sorted(_of_text(t, restorer, known, None)) for t in texts]
@@ -254,7 +271,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     def run(batches):
         release()
         m = sent.value
-        restorer, known = Restorer(m.language), {}
+        restorer, known = Restorer(m.language), _Known()
         for batch in batches:
             texts = one_column(batch, text_col)
             out = [m.score(_of_text(t.as_py() or "", restorer, known, m.chosen)) for t in texts]
@@ -287,7 +304,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     def run(batches):
         release()
         m = sent.value
-        restorer, known = Restorer(m.language), {}
+        restorer, known = Restorer(m.language), _Known()
         for batch in batches:
             texts = one_column(batch, text_col)
             yield batch.filter(pa.array([m.score(_of_text(t.as_py() or "", restorer, known, m.chosen)) < THRESHOLD for t in texts], pa.bool_()))

@@ -421,7 +421,7 @@ def test_pipeline(spark):
             for k, t in before:
                 best[t or ""] = max(best.get(t or "", -1), k)
             assert left == set(best.values())
-        elif name == "simhash_near_dedup":
+        elif name == "near_dedup":
             assert left == similar.brute(before)
         else:
             items = [tuple(x) for x in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
