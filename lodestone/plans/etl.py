@@ -117,7 +117,7 @@ def discover(job: Job, seeds: DataFrame) -> DataFrame:
         robots = at.join(job.keep(robots.fetch(at), "robots"), "url").drop("url")
     maps = web.robots_sitemaps(base.join(robots, "seed", "left").select(
         "seed", F.regexp_replace("seed", "/+$", "").alias("base_url"), "status", "body"))
-    site = job.keep(discovery.sitemap_links(web.sitemap_pages(maps.join(base, "seed"), job.sitemaps)), "sitemap_links")
+    site = job.keep(discovery.sitemap_links(web.sitemap_pages(maps.join(base, "seed"), job.sitemaps, folder=job.folder)), "sitemap_links")
     raw = lambda f, links: f.select("*", F.explode(links).alias("l")).select("*", "l.*").drop("l", "nav", "links", "markdown")
     layer2 = site.limit(0)
     if job.navigate:

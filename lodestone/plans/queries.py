@@ -106,6 +106,15 @@ def seed_validation(spark, sf_dir):
     return web.seeds(frame(spark, _SEEDS, "raw string"))
 
 
+_RAW = "concat(repeat(' ', page_id % 3), CASE page_id % 5 WHEN 0 THEN url WHEN 1 THEN regexp_replace(url, '^https?://', '') WHEN 2 THEN 'localhost/' || page_id WHEN 3 THEN '10.0.' || (page_id % 7) || '.1' ELSE 'ftp' || page_id END)"
+
+
+@query(ORACLES["seed_validation"].replace(values(_SEEDS, "raw"), f"(SELECT DISTINCT {_RAW} AS raw FROM pages)"))
+def page_seeds(spark, sf_dir):
+    """Seeds as people type them, made of the addresses of pages."""
+    return web.seeds(table(spark, sf_dir, "pages").selectExpr(f"{_RAW.replace('page_id % 3', 'cast(page_id % 3 AS int)')} AS raw"))
+
+
 _QUERIES = [
     (-1, "https://x.edu/a?page&k=1&utm_source=z"), (-2, "https://x.edu/a?a=&b"), (-3, "https://x.edu/a?k=a%20b&q=c+d"), (-4, "https://x.edu/a?a=1&b=2&a=3"),
     (-5, "https://x.edu/a?UTM_Source=1"), (-6, "https://X.edu//b///c?x=%C3%A9%2F*~&&y=1=2#top"), (-7, "https://x.edu/f.PDF?a=1"), (-8, "https://x.edu/a?"),
@@ -231,6 +240,16 @@ def link_categories(spark, sf_dir):
 _PA, _PT = c.any_of(PAGE_ADM), c.any_of(PAGE_TUI)
 
 
+@query(f"""
+WITH {_NAV_SQL}, s AS (SELECT seed, url, {_score_sql(_PA, (), source=_sql('nav-nav'), depth='1')} AS admissions_score, {_score_sql(_PT, (), source=_sql('nav-nav'), depth='1')} AS tuition_score FROM nav)
+SELECT seed, url, greatest(admissions_score, tuition_score) AS max_score, {_CATEGORY} AS category, admissions_score >= 0.3 AS is_admissions, tuition_score >= 0.3 AS is_tuition FROM s
+""")
+def page_link_categories(spark, sf_dir):
+    """Category and classes of the navigation links of all hosts."""
+    links = discovery.classified(discovery.scored(_page_links(spark, sf_dir), PAGE_ADM, PAGE_TUI, (), ()))
+    return links.select("seed", "url", "max_score", "category", "is_admissions", "is_tuition")
+
+
 @query(f"WITH {_NAV_SQL} SELECT seed, url, {_score_sql(_PA, (), source=_sql('nav-nav'), depth='1')} AS admissions_score, {_score_sql(_PT, (), source=_sql('nav-nav'), depth='1')} AS tuition_score FROM nav")
 def page_link_scores(spark, sf_dir):
     return discovery.scored(_page_links(spark, sf_dir), PAGE_ADM, PAGE_TUI, (), ()).select("seed", "url", "admissions_score", "tuition_score")
@@ -320,6 +339,16 @@ def request_blocking(spark, sf_dir):
     return df.select("type", "url", fetch.blocked_request().alias("blocked"))
 
 
+_KIND = "CASE page_id % 9 WHEN 0 THEN 'image' WHEN 1 THEN 'media' WHEN 2 THEN 'font' WHEN 3 THEN 'stylesheet' WHEN 4 THEN 'script' ELSE 'document' END"
+_ASKED = "CASE page_id % 8 WHEN 5 THEN concat(url, '/Logo.PNG?v=1') WHEN 6 THEN concat('https://www.google-analytics.com/', page_id) WHEN 7 THEN concat(url, '/clip.mp4') ELSE url END"
+
+
+@query(f"SELECT page_id, {_KIND} IN ('image', 'media', 'font', 'stylesheet') OR len(list_filter([{', '.join(_sql(x) for x in c.BLOCKED_URLS)}], lambda p: contains(lower({_ASKED}), p))) > 0 AS blocked FROM pages")
+def page_requests(spark, sf_dir):
+    """Which requests of pages are not let through, by their kind and address."""
+    return table(spark, sf_dir, "pages").selectExpr("page_id", f"{_KIND} AS type", f"{_ASKED} AS url").select("page_id", fetch.blocked_request().alias("blocked"))
+
+
 @query()
 def html_markdown(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", html.markdown("html").alias("markdown"))
@@ -669,6 +698,43 @@ def robots_sitemaps(spark, sf_dir):
     return web.robots_sitemaps(frame(spark, _ROBOTS, "seed string, base_url string, status int, body string"))
 
 
+_STATUS_OF = "CASE WHEN c_custkey % 5 = 0 THEN 404 ELSE 200 END"
+
+
+@query(f"""
+WITH r AS (SELECT c_custkey AS seed, 'https://c' || c_custkey || '.edu' AS base, {_STATUS_OF} AS status, c_nationkey AS n FROM customer),
+e AS (SELECT seed, base || '/sitemap.xml' AS url, 0 AS p FROM r UNION ALL SELECT seed, base || '/sitemap_index.xml', 1 FROM r
+      UNION ALL SELECT seed, base || '/n' || (n % 4) || '.xml', 3 FROM r WHERE status = 200 UNION ALL SELECT seed, base || '/m' || (n % 4) || '.xml', 4 FROM r WHERE status = 200 AND n % 3 = 0)
+SELECT seed, (row_number() OVER (PARTITION BY seed ORDER BY min(p)) - 1)::INTEGER AS pos, url FROM e GROUP BY seed, url
+""")
+def customer_robots(spark, sf_dir):
+    """Sitemaps of a site for each customer, by the robots file it would have: repeated, in odd case, or gone."""
+    body = "concat('User-agent: *\r\nSITEMAP:  ', base, '/n', c_nationkey % 4, '.xml \nDisallow: /x\nsitemap: ', base, '/n', c_nationkey % 4, '.xml', if(c_nationkey % 3 = 0, concat('\rSitemap:', base, '/m', c_nationkey % 4, '.xml'), '\nSitemap: ' || base || '/sitemap.xml'))"
+    sites = table(spark, sf_dir, "customer").selectExpr("c_custkey AS seed", "concat('https://c', c_custkey, '.edu') AS base", "c_nationkey", f"{_STATUS_OF} AS status")
+    return web.robots_sitemaps(sites.selectExpr("seed", "base AS base_url", "status", f"{body} AS body"))
+
+
+@query(f"""
+WITH p AS (SELECT DISTINCT {host_of('url')} AS seed, {_BASE.format(host_of('url'))} AS base, url, page_id FROM pages)
+SELECT DISTINCT seed, base, replace(url, '&', '') AS url FROM p WHERE page_id % 4 < 3 AND page_id % 11 <> 5 AND contains(url, base)
+""")
+def host_sitemaps(spark, sf_dir):
+    """Pages of each host by its sitemaps: an index of indices, cycles, a broken file, a file that is gone and pages of other sites."""
+    p = table(spark, sf_dir, "pages").select("page_id", F.regexp_replace("url", "&", "").alias("url"), urls.host("url").alias("seed"), urls.base_domain("url").alias("base"))
+    hosts = p.select("seed", "base").distinct()
+    at = lambda name: F.concat(F.lit("https://"), "seed", F.lit(f"/{name}.xml"))
+    loc = lambda tag, x: F.concat(F.lit(f"<{tag}><loc> "), x, F.lit(f" </loc></{tag}>"))
+    index = lambda name, *to: hosts.select(at(name).alias("url"), F.lit(200).alias("status"), F.concat(F.lit("<sitemapindex>"), *[loc("sitemap", at(t)) for t in to], F.lit("</sitemapindex>")).alias("body"))
+    named = p.where("page_id % 11 <> 5").groupBy("seed", (F.col("page_id") % 4).alias("k")).agg(F.array_join(F.array_sort(F.collect_set(loc("url", F.col("url")))), "").alias("pages"))
+    leaf = named.select(
+        F.concat(F.lit("https://"), "seed", F.lit("/leaf"), "k", F.lit(".xml")).alias("url"), F.when(F.col("k") == 3, 404).otherwise(200).alias("status"),
+        F.concat(F.lit("<urlset>"), "pages", F.lit("<url><loc>https://elsewhere.test/x</loc></url></urlset>")).alias("body"))
+    broken = hosts.select(at("broken").alias("url"), F.lit(200).alias("status"), F.lit("<urlset><url><loc>https://lost").alias("body"))
+    files = index("sitemap", "deep", "leaf0").unionByName(index("deep", "deeper", "sitemap")).unionByName(index("deeper", "leaf1", "leaf2", "leaf3", "broken", "deep")).unionByName(leaf).unionByName(broken)
+    start = hosts.select("seed", "base", at("sitemap").alias("url"))
+    return web.sitemap_pages(start, files, folder=new_folder(spark, "sitemaps"))
+
+
 _NS = 'xmlns="http://www.sitemaps.org/schemas/sitemap/0.9"'
 _MAPS = [
     ("https://x.edu/sitemap.xml", 200, f"<?xml version='1.0'?><sitemapindex {_NS}><sitemap><loc>https://x.edu/m1.xml</loc></sitemap><sitemap><loc>https://x.edu/bad.xml</loc></sitemap></sitemapindex>"),
@@ -690,7 +756,7 @@ SELECT DISTINCT 's' AS seed, 'x.edu' AS base, p AS url FROM (SELECT unnest(regex
 @query(_PAGES_SQL)
 def sitemap_urls(spark, sf_dir):
     start = frame(spark, [("s", "x.edu", u) for u in ("https://x.edu/sitemap.xml", "https://x.edu/sitemap_index.xml", "https://x.edu/gone.xml")], "seed string, base string, url string")
-    return web.sitemap_pages(start, frame(spark, _MAPS, "url string, status int, body string")).select("seed", "base", "url")
+    return web.sitemap_pages(start, frame(spark, _MAPS, "url string, status int, body string"), folder=new_folder(spark, "sitemaps")).select("seed", "base", "url")
 
 
 @query(f"SELECT seed, url, '' AS anchor_text, 'sitemap' AS source, 0 AS depth FROM ({_PAGES_SQL}) WHERE regexp_matches(lower(url), '{_ALL}')")

@@ -5,8 +5,10 @@ Bodies come from tables (url, status, body), or from ``Files``, which asks for t
 
 from __future__ import annotations
 
+import tempfile
 import urllib.error
 import urllib.request
+import uuid
 import xml.etree.ElementTree as ET
 from collections.abc import Callable
 
@@ -95,22 +97,37 @@ class Files:
         return each.select("url").mapInPandas(run, "url string, status int, body string")
 
 
-def sitemap_pages(start: DataFrame, files, max_depth: int | None = None) -> DataFrame:
+def sitemap_pages(start: DataFrame, files, max_depth: int | None = None, folder: str | None = None) -> DataFrame:
     """(seed, base, url) of sitemaps and files -> distinct (seed, base, url) of the site's pages.
 
     ``files`` is a table (url, status, body), which is parsed once, or an adapter that is asked for the files of each level.
     Sitemaps of sitemaps are followed until no new one is named (``max_depth`` levels down if given), each file once for a
     seed, which ends cycles.
+
+    Each level reads the one before from ``folder`` (shared by all executors; a local master may go without) and writes what it
+    named, so plans do not grow with the depth and a lost executor asks no site again.
     """
-    parsed = lambda t: t.where(F.col("status") == 200).select("url", sitemap_entries("body").alias("e")).persist()
-    every = parsed(files) if isinstance(files, DataFrame) else None
-    front, seen, found, depth = start.select("seed", "base", "url").distinct(), start.select("seed", "url").distinct(), None, 0
+    spark = start.sparkSession
+    if not folder and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("name a folder that the driver and all executors share")
+    root = f"{folder or tempfile.mkdtemp(prefix='lodestone-')}/sitemaps-{uuid.uuid4().hex}"
+
+    def put(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{root}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{root}/{name}")
+
+    front_of = lambda: spark.read.schema("seed string, base string, url string, level int").parquet(f"{root}/front")
+    parsed = lambda t, name: put(t.where(F.col("status") == 200).select("url", sitemap_entries("body").alias("e")), name)
+    every = parsed(files, "parsed") if isinstance(files, DataFrame) else None
+    front, level = put(start.select("seed", "base", "url").distinct(), "front/level=0"), 0
     while True:
-        hit = front.join(parsed(files.fetch(front)) if every is None else every, "url")
-        pages = hit.select("seed", "base", F.explode("e.pages").alias("url"))
-        found = pages if found is None else found.unionByName(pages)
-        front = hit.select("seed", "base", F.explode("e.sitemaps").alias("url")).distinct().join(seen, ["seed", "url"], "left_anti").persist()
-        if depth == max_depth or front.isEmpty():
-            return found.where(F.contains("url", "base")).distinct()
-        seen = seen.unionByName(front.select("seed", "url"))
-        depth += 1
+        hit = front.join(every if every is not None else parsed(put(files.fetch(front), f"bodies/level={level}"), f"parsed/level={level}"), "url")
+        named = put(hit.select("seed", "base", "e.pages", "e.sitemaps"), f"named/level={level}")
+        if level == max_depth:
+            break
+        deeper = named.select("seed", "base", F.explode("sitemaps").alias("url")).distinct()
+        front, level = put(deeper.join(front_of().select("seed", "url"), ["seed", "url"], "left_anti").select("seed", "base", "url"), f"front/level={level + 1}"), level + 1
+        if front.isEmpty():
+            break
+    found = spark.read.schema("seed string, base string, pages array<string>, level int").parquet(f"{root}/named")
+    return found.select("seed", "base", F.explode("pages").alias("url")).where(F.contains("url", "base")).distinct()

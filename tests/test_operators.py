@@ -174,6 +174,29 @@ def test_files(spark):
     assert web.http_get("http://127.0.0.1:9/robots.txt", timeout=1.0) == (0, None)
 
 
+def test_deep_sitemaps(spark, tmp_path):
+    """Each file is asked for once, at any depth, and the last level's plan is as the first one's."""
+    import os
+    import uuid
+
+    notes = tmp_path / "notes"
+    notes.mkdir()
+
+    def get(url):
+        with open(os.path.join(str(notes), uuid.uuid4().hex), "w") as f:
+            f.write(url)
+        k = int(url.rsplit("/", 1)[1])
+        return 200, f"<sitemapindex><sitemap><loc>https://x.edu/{min(k + 1, 8)}</loc></sitemap><sitemap><loc>https://x.edu/0</loc></sitemap><url><loc>https://x.edu/p{k}</loc></url></sitemapindex>"
+
+    start = spark.createDataFrame([("s", "x.edu", "https://x.edu/0")], "seed string, base string, url string")
+    got = web.sitemap_pages(start, web.Files(get, tasks=2), folder=str(tmp_path))
+    assert sorted(r.url for r in got.collect()) == [f"https://x.edu/p{k}" for k in range(9)] and len(got.collect()) == 9
+    assert sorted(f.read_text() for f in notes.iterdir()) == [f"https://x.edu/{k}" for k in range(9)]
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 1
+    few = web.sitemap_pages(start, web.Files(get, tasks=2), 2, str(tmp_path))
+    assert sorted(r.url for r in few.collect()) == [f"https://x.edu/p{k}" for k in range(3)]
+
+
 def test_pooled_model(spark):
     """Prompts go through the slots of their key; limited models are passed over."""
 
