@@ -6,11 +6,13 @@ All seeds pass each step as one DataFrame.  A seed that fails keeps a row with i
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -44,6 +46,7 @@ class Job:
     fresh: str | None = None
     run_id: str = ""
     bad: DataFrame | None = None
+    steps: list[tuple[str, int, int, float]] = field(default_factory=list)
     read: list[DataFrame] = field(default_factory=list)
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
@@ -52,8 +55,20 @@ class Job:
             if not df.sparkSession.sparkContext.master.startswith("local"):
                 raise ValueError("name a folder that the driver and all executors share")
             self.folder = tempfile.mkdtemp(prefix="lodestone-job-")
-        df.write.mode("overwrite").parquet(f"{self.folder}/{name}")
-        return df.sparkSession.read.schema(df.schema).parquet(f"{self.folder}/{name}")
+        return self.put(df, f"{self.folder}/{name}", name)
+
+    def put(self, df: DataFrame, path: str, name: str) -> DataFrame:
+        """Writes a step and notes its rows, those that failed and its seconds, counted while they are written."""
+        seen, begin = Observation(f"{name}-{uuid.uuid4().hex}"), time.perf_counter()
+        bad = next((F.count_if(x) for k, x in (("good", ~F.col("good")), ("error", F.col("error").isNotNull())) if k in df.columns), F.count_if(F.lit(False)))
+        df.observe(seen, F.count(F.lit(1)).alias("rows"), bad.alias("failed")).write.mode("overwrite").parquet(path)
+        seconds = time.perf_counter() - begin
+        try:
+            got = seen.get
+        except Py4JJavaError:  # Spark found beforehand that there are no rows, and counted nothing
+            got = {"rows": 0, "failed": 0}
+        self.steps.append((name, got["rows"], got["failed"], seconds))
+        return df.sparkSession.read.schema(df.schema).parquet(path)
 
     def pages_of(self, wanted: DataFrame, name: str) -> DataFrame:
         """What is needed of pages, each of which the whole job fetches once; their html stays where they are fetched.
@@ -79,13 +94,12 @@ class Job:
         return new if old is None else old.unionByName(new)
 
     def remember(self, df: DataFrame, name: str) -> DataFrame:
-        path = f"{self.memory}/run={self.run_id}/step={name}"
-        df.write.mode("overwrite").parquet(path)
-        return df.sparkSession.read.schema(df.schema).parquet(path)
+        return self.put(df, f"{self.memory}/run={self.run_id}/step={name}", name)
 
     def recall(self, spark: SparkSession) -> None:
         """Begins a run with what ``memory`` holds and is not older than ``fresh``."""
         self.read.clear()
+        self.steps.clear()
         self.run_id = uuid.uuid4().hex
         if not self.memory:
             return
@@ -135,7 +149,8 @@ def discover(job: Job, seeds: DataFrame) -> DataFrame:
 def run(job: Job, raw_seeds: DataFrame) -> DataFrame:
     """One record for each distinct raw seed: raw, seed, error and the nested columns (null where there is an error).
 
-    A record that breaks a rule of ``validate.RECORD`` is an error as well; ``job.bad`` has a row for each violation.
+    A record that breaks a rule of ``validate.RECORD`` is an error as well; ``job.bad`` has a row for each violation.  ``job.steps``
+    has (step, rows, failed, seconds) of each table that the run wrote, in order.
     """
     job.recall(raw_seeds.sparkSession)
     seeds = web.seeds(raw_seeds)

@@ -53,9 +53,13 @@ def test_failures_are_asked_once(spark, tmp_path):
     for f in folders:
         f.mkdir()
     memory = str(tmp_path / "memory")
-    out = {r.raw: r for r in etl.run(job(spark, noted(str(folders[0])), memory), seeds).collect()}
+    first = job(spark, noted(str(folders[0])), memory)
+    out = {r.raw: r for r in etl.run(first, seeds).collect()}
     assert out["x.edu"].error is None and out["gone.edu"].error == "no pages" and len(out["x.edu"].page_metadata) == 3
     got = Counter((m, u) for m, u, _ in calls(folders[0]))
+    steps = {name: (rows, failed) for name, rows, failed, _ in first.steps}
+    assert steps["home-standard"] == (2, 1) and steps["home-alternate"] == (1, 1) and steps["wanted"][0] > 3 and steps["records"] == (1, 0) and steps["responses"] == (3, 0)
+    assert all(s >= 0 for *_, s in first.steps) and list(steps)[0] == "seeds"
     assert set(got.values()) == {1}
     bad = {u for _, u in got} - set(SITE)
     assert {"https://www.gone.edu/", "https://www.x.edu/apply-gone/", "https://www.x.edu/deadline-lost/"} <= bad
