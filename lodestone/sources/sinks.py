@@ -26,17 +26,27 @@ def write_json(records: DataFrame, folder: str) -> None:
 
 
 def write_files(records: DataFrame, folder: str, seed: str = "seed") -> None:
-    """One indented file for each seed, named by its domain, in a folder that all executors share."""
+    """One indented file for each seed, named by its domain, in a folder that all executors share.
+
+    A file gets its name when it is whole, so a task that fails or is repeated leaves no part of one under that name.
+    """
     columns = [x for x in RECORD if x in records.columns]
     rows = records.select(urls.file_slug(seed).alias("name"), record_json(*columns).alias("json"))
 
     def save(part):
         import os
+        import uuid
 
         os.makedirs(folder, exist_ok=True)
         for r in part:
-            with open(f"{folder}/{r.name}.json", "w", encoding="utf-8") as f:
-                json.dump(json.loads(r.json), f, indent=2, ensure_ascii=False)
+            begun = f"{folder}/.{r.name}.{uuid.uuid4().hex}.part"
+            try:
+                with open(begun, "w", encoding="utf-8") as f:
+                    json.dump(json.loads(r.json), f, indent=2, ensure_ascii=False)
+                os.replace(begun, f"{folder}/{r.name}.json")
+            finally:
+                if os.path.exists(begun):
+                    os.remove(begun)
 
     rows.foreachPartition(save)
 

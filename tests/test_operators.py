@@ -3,6 +3,7 @@
 import json
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from lodestone import config as c
@@ -126,6 +127,19 @@ def test_job(spark, tmp_path):
     assert quality.severities(out.where("error is null")).first().errors == 0
 
 
+def test_files_are_whole_or_absent(spark, tmp_path):
+    """A file that cannot get its name fails the task and leaves no part; writing again replaces whole files."""
+    rows = spark.createDataFrame([("https://a.edu/", "x"), ("https://b.edu/", "y")], "seed string, overview string").coalesce(1)
+    (tmp_path / "b_edu.json").mkdir()
+    with pytest.raises(Exception, match="b_edu.json"):
+        sinks.write_files(rows, str(tmp_path))
+    assert {p.name for p in tmp_path.iterdir()} == {"a_edu.json", "b_edu.json"}
+    (tmp_path / "b_edu.json").rmdir()
+    for _ in range(2):
+        sinks.write_files(rows, str(tmp_path))
+    assert {p.name: json.loads(p.read_text())["overview"] for p in tmp_path.iterdir()} == {"a_edu.json": "x", "b_edu.json": "y"}
+
+
 def counted(folder, blocked=()):
     """A fetch function that notes each call in a file; ``blocked`` pages are refused in the standard mode."""
 
