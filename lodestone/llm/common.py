@@ -21,6 +21,9 @@ SLICE_BYTES = 1 << 20
 
 #: Tables of at most so many narrow rows (ids, digests) are broadcast.
 FEW = 200_000
+#: A key of more than this share of a table's rows, and of more than ``COLD`` rows, is met where its rows are read; there are
+#: at most the inverse of such keys.
+HOT, COLD = 1 / 512, 10_000
 
 _own_dir: dict[str, str] = {}
 
@@ -39,6 +42,19 @@ def few(df: DataFrame, limit: int = FEW) -> bool:
     return df.limit(limit + 1).count() <= limit
 
 
+def unique_join(rows: DataFrame, unique: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """``rows`` (a written table, ``key`` never null) joined to a written table that has each key once.
+
+    Rows of hot keys are not dealt by their key: what they meet, at most one row for each hot key, is broadcast.
+    """
+    counts = rows.groupBy(key).count()
+    hot = [x[0] for x in counts.where(F.col("count") > F.lit(max(rows.count() * HOT, COLD))).select(key).collect()]
+    if not hot:
+        return rows.join(unique, key, how)
+    is_hot = F.col(key).isin(hot)
+    return rows.where(~is_hot).join(unique.where(~is_hot), key, how).unionByName(rows.where(is_hot).join(F.broadcast(unique.where(is_hot)), key, how))
+
+
 def free_name(df: DataFrame, label: str) -> str:
     """A column name that the table does not have."""
     name, taken = f"__{label}", {c.lower() for c in df.columns}

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Durable, bounded_batches, few, free_name, one_column, table, text_buffer
+from .common import Durable, bounded_batches, few, free_name, one_column, table, text_buffer, unique_join
 from .components import HUB, smallest_reachable
 
 SEED, SHINGLE, RADIUS = 42, 3, 3
@@ -290,7 +290,7 @@ def components(
     """
     store = Durable(docs.sparkSession, "simhash")
     every = store.write(fingerprints(docs, id_col, text_col, size))
-    return every.join(_grouped(every, store, radius, cell), "fp").select("id", "fp", "component")
+    return unique_join(every, store.write(_grouped(every, store, radius, cell)), "fp").select("id", "fp", "component")
 
 
 def _one_each(docs: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -330,7 +330,7 @@ def drop_near_copies(
     """
     store = Durable(docs.sparkSession, "near")
     every = store.write(fingerprints(docs, id_col, text_col, size, keyed=True))
-    found = store.write(every.join(_grouped(every, store, radius, cell), "fp").select("id", "digest", "node"))
+    found = store.write(unique_join(every, store.write(_grouped(every, store, radius, cell)), "fp").select("id", "digest", "node"))
     return _one_each(docs, found, id_col, text_col)
 
 

@@ -3,12 +3,13 @@
 import bisect
 import hashlib
 import random
+import tempfile
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lodestone.llm import decontaminate, exact_dedup, extraction, language, licenses, packing, quality, secrets, similar, simhash, toxicity
+from lodestone.llm import common, decontaminate, exact_dedup, extraction, language, licenses, packing, quality, secrets, similar, simhash, toxicity
 from lodestone.llm.components import smallest_reachable
 from lodestone.llm.dom import parse, text_of
 from lodestone.llm.labelled import held_out, logistic
@@ -173,6 +174,69 @@ def test_similar_parts(spark, monkeypatch):
     assert {x.doc_id for x in kept.collect()} == similar.brute(texts)
 
 
+def test_similar_cells(spark, monkeypatch):
+    """Groups with many nodes far from their pivot are compared by fingerprint where that sends fewer sets, parts of cells included."""
+    monkeypatch.setattr(similar, "GROUP", 4)
+    used = []
+    plain = similar._by_cells
+    monkeypatch.setattr(similar, "_by_cells", lambda *a: (used.append(a[2].selectExpr("max(n)").first()[0]), plain(*a))[1])
+    r = random.Random(9)
+    words = "ab cd EF gh ij kl mn op qr st".split()
+    common = r.choices(words, k=90)
+    texts = []
+    for i in range(150):  # half of each text is in all of them: weak candidates; some have near copies
+        own = common + [f"u{i}x{j}" for j in range(r.choice([30, 60, 120]))]
+        for c in range(r.choice([1, 1, 1, 2, 4])):
+            w = list(own)
+            for _ in range(c * 2):
+                w[r.randrange(len(w))] = f"v{i}{c}"
+            texts.append((len(texts), " ".join(w)))
+    kept = {x.doc_id for x in similar.drop_similar(frame(spark, [(i, t, None) for i, t in texts])).collect()}
+    assert kept == similar.brute(texts) and len(kept) < len(texts)
+    assert used and used[0] > 4
+
+
+def test_similar_cell_links():
+    """What a cell links are the labels that a comparison of all its sets links, each link once."""
+    r = random.Random(4)
+    for case in range(40):
+        sets = [sorted(r.sample(range(14), r.choice([10, 11, 12]))) for _ in range(40)]
+        labels = [r.choice([i, 0, 1]) for i in range(40)]
+        split = case % 2  # sets of two parts: those of the first are not compared with each other
+        with tempfile.TemporaryFile(buffering=0) as file:
+            cell, links = similar._Cell(file, 0.8), []
+            for i, (x, own) in enumerate(zip(labels, sets)):
+                own = np.array(own, np.uint64)
+                if not split or i >= 20:
+                    links += cell.links(x, own)
+                if not split or i < 20:
+                    cell.add(x, own)
+        alike = lambda a, b: len(set(a) & set(b)) / len(set(a) | set(b)) >= 0.8
+        want = [(labels[i], labels[j]) for i in range(40) for j in range(i) if alike(sets[i], sets[j]) and (not split or j < 20 <= i)]
+
+        def roots(pairs):
+            root = {k: k for k in labels}
+            for _ in range(len(root)):
+                for a, b in pairs:
+                    root[a] = root[b] = min(root[a], root[b])
+            return root
+
+        assert roots(links) == roots(want) and len(links) < len(set(labels))
+
+
+def test_unique_join_hot(spark, monkeypatch):
+    """Rows of hot keys meet theirs without being dealt by key; inner and left joins give what plain joins give."""
+    monkeypatch.setattr(common, "COLD", 20)
+    rows = spark.range(300).selectExpr("id", "case when id < 120 then 7 when id < 200 then 8 else id end as k")
+    once = spark.range(280).where("id <> 8").selectExpr("id as k", "id * 2 as v")
+    for how in ("inner", "left"):
+        got = common.unique_join(rows, once, "k", how)
+        assert sorted(map(str, got.collect())) == sorted(map(str, rows.join(once, "k", how).collect()))
+    plan = common.unique_join(rows, once, "k")._jdf.queryExecution().optimizedPlan().toString()
+    assert "rightHint=(strategy=broadcast)" in plan
+    assert common.unique_join(rows.limit(0), once, "k").count() == 0
+
+
 def test_similar(spark, odd, none):
     """The near-dedup stage keeps what a comparison of all pairs keeps: five words, similarity 0.8."""
     import corpus_pipeline as p
