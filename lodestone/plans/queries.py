@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from .. import config as c
 from ..functions import html, normalize, urls
 from ..functions.text import squeeze
-from ..operators import context, discovery, extract, fetch, pool, quality, validate
+from ..operators import context, discovery, extract, fetch, once, pool, quality, validate
 from ..sources import sinks, web
 from ..streaming import state
 from . import etl
@@ -354,6 +354,20 @@ def html_markdown(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", html.markdown("html").alias("markdown"))
 
 
+@query("""
+WITH p AS (SELECT page_id, url, html FROM pages UNION ALL SELECT page_id, url || '?mirror', html FROM pages)
+SELECT page_id, url, sha256(html) AS digest, CASE WHEN html IS NOT NULL THEN 'one' END AS made_in, count(html) OVER (PARTITION BY html) AS n_urls FROM p
+""")
+def markdown_memory(spark, sf_dir):
+    """Two runs that share a memory: the pages, then the pages and mirrors of them, of which nothing is converted again."""
+    pages, memory = table(spark, sf_dir, "pages").select("page_id", "url", "html"), new_folder(spark, "markdown")
+    once.markdown_once(pages, memory, "one")
+    grown = pages.unionByName(pages.withColumn("url", F.concat("url", F.lit("?mirror"))))
+    out = once.markdown_once(grown, memory, "two").drop("html", "markdown")
+    counts = out.groupBy(F.col("digest").alias("d")).agg(F.count("digest").alias("n_urls"))
+    return out.join(counts, F.col("digest").eqNullSafe(F.col("d"))).drop("d")
+
+
 @query("""
 WITH p AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS n FROM conversations)
 SELECT conv_id, left(string_agg(chr(10) || chr(10) || '## Page: ' || role || chr(10) || left(text, 40000), '' ORDER BY n), 40000) AS context, string_agg(role, ',' ORDER BY n) AS sources FROM p WHERE n <= 3 GROUP BY conv_id
