@@ -57,7 +57,11 @@ def bit_counts(h: np.ndarray) -> np.ndarray:
 
 
 def fingerprint(text: bytes, size: int = SHINGLE) -> int:
-    h = np.array(shingle_hashes(text, size), U)
+    return majority(np.array(shingle_hashes(text, size), U))
+
+
+def majority(h: np.ndarray) -> int:
+    """The bits that over half of the hashes have; zero of none."""
     if not len(h):
         return 0
     bits = bit_counts(h) * 2 > len(h)
@@ -248,8 +252,12 @@ def near_links(reps: DataFrame, radius: int = RADIUS, cell: int = CELL) -> DataF
             if len(masks) == 1
             else _union([deal(again.where(F.col("mask") == _signed(m)), _split(m, parts)) for m in masks])
         )
-    rows = _union([x.select("mask", "cell", "fp", "rep") for x in done])
-    bounded_batches(spark)
+    return search_cells(_union([x.select("mask", "cell", "fp", "rep") for x in done]), radius)
+
+
+def search_cells(rows: DataFrame, radius: int) -> DataFrame:
+    """(mask, cell, fp, rep) -> links (a, b) of reps that span all within the radius in a cell, by a Gray-order index of each cell."""
+    bounded_batches(rows.sparkSession)
     return (
         rows.repartition("mask", "cell")
         .withColumn("rank", _gray(F.col("fp")))

@@ -196,6 +196,40 @@ def test_similar_cells(spark, monkeypatch):
     assert used and used[0] > 4
 
 
+def test_similar_candidates(spark):
+    """Candidates are SimHash fingerprints within the reach that share a key, whole keys and keys in parts; repeats do no harm."""
+    r = random.Random(5)
+    ids = [r.getrandbits(62) - 2**61 for _ in range(90)]
+    centres = [r.getrandbits(64) for _ in range(8)]
+    fps = {k: r.choice(centres) ^ sum(1 << b for b in r.sample(range(64), r.randrange(9))) for k in ids}
+    keys = {k: r.sample(range(4), r.choice([1, 1, 2])) for k in ids}
+    rows = [(key, k, fps[k] - (fps[k] >> 63 << 64)) for k in ids for key in keys[k]]
+    dealt = common.Durable(spark, "test").write(spark.createDataFrame(rows + rows[:20], "key long, node long, fp long"))
+    near = lambda a, b: bin(fps[a] ^ fps[b]).count("1") <= 10 and set(keys[a]) & set(keys[b])
+
+    def groups(pairs):
+        root = {k: k for k in ids}
+        for _ in ids:
+            for a, b in pairs:
+                root[a] = root[b] = min(root[a], root[b])
+        return root
+
+    want = groups([(a, b) for a in ids for b in ids if a < b and near(a, b)])
+    assert len(set(want.values())) > 3
+    for cell in (8192, 8):
+        found = [tuple(x) for x in similar.candidates(dealt, common.Durable(spark, "test"), 10, cell).collect()]
+        assert groups(found) == want
+
+
+def test_similar_fingerprints(spark):
+    """Each row of the stage has the SimHash fingerprint of its set of shingles."""
+    words = "ab cd EF gh ij kl mn op qr st".split()
+    texts = [(1, " ".join(words)), (2, "one two"), (3, None), (4, " ".join(words * 2))]
+    for x in similar._sketches(frame(spark, [(i, t, None) for i, t in texts]), "doc_id", "text", 5, False).collect():
+        h = [int(v) for v in similar.shingle_set((dict(texts)[x.id] or "").encode())]
+        assert x.fp % 2**64 == sum(1 << b for b in range(64) if 2 * sum(v >> b & 1 for v in h) > len(h))
+
+
 def test_similar_cell_links():
     """What a cell links are the labels that a comparison of all its sets links, each link once."""
     r = random.Random(4)
