@@ -44,3 +44,10 @@ def test_entry_imports():
     import __spark_entry__ as entry
 
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+@pytest.mark.parametrize("name", ["nav_links", "page_link_categories", "page_link_scores", "html_markdown"])
+def test_pages_go_to_python_in_small_batches(spark, name):
+    """What a worker holds of pages is bounded by a hundred of them, whatever the rows of its task."""
+    plan = QUERIES[name](spark, SF)._jdf.queryExecution().toString()
+    assert "BatchEvalPython" in plan and "ArrowEvalPython" not in plan
