@@ -35,6 +35,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(spark: SparkSession, sf_dir: str, name: str, key: str, *more: str) -> DataFrame:
+    """These columns dealt by a key: rows of a small file that become much more data, or much work, are not one task's."""
+    return table(spark, sf_dir, name).select(key, *more).repartition(key)
+
+
 def work_folder(spark: SparkSession, label: str) -> str | None:
     """A new folder below the shared one that ``spark.checkpoint.dir`` names; None where it is not set."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
@@ -1015,7 +1020,8 @@ def markdown_plain(spark, sf_dir):
     page = F.concat(
         F.lit("<html><head><title>t</title><style>x</style></head><body><nav><a href='/'>Home</a></nav><h1>"), "p_name", F.lit("</h1>\n<p>Made by\n <b>"), "p_brand",
         F.lit("</b> &amp; co.</p><script>no()</script><ul><li>size "), "p_size", F.lit("</li><li><a href='/x'>see it</a></li></ul><footer>end</footer></body></html>"))
-    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"), html.markdown(page).alias("markdown"))
+    parts = spread(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand", "p_size")
+    return parts.select(F.col("p_partkey").alias("k"), html.markdown(page).alias("markdown"))
 
 
 @query("""

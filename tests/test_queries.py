@@ -4,6 +4,7 @@ import math
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from lodestone.plans.registry import ORACLES, QUERIES
 
@@ -46,6 +47,20 @@ def test_entry_imports():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
+def test_work_is_spread(spark):
+    """A table of one file is not one task's work: its rows are dealt before pages are made of them."""
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "4"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        made = QUERIES["markdown_plain"](spark, SF).select(F.spark_partition_id().alias("p"), "markdown")
+        assert made.select("p").distinct().count() > 1
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 @pytest.mark.parametrize("name", ["nav_links", "page_link_categories", "page_link_scores", "html_markdown"])
 def test_pages_go_to_python_in_small_batches(spark, name):
     """What a worker holds of pages is bounded by a hundred of them, whatever the rows of its task."""
