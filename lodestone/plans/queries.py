@@ -887,14 +887,15 @@ def _responses(spark, sf_dir) -> DataFrame:
     due = F.to_json(F.struct(F.array(
         F.struct(F.when(k % 2 == 0, "Regular Decision").otherwise("Whenever").alias("deadline_type"), gap(3, F.lit("2026-01-01")).alias("deadline_date"), gap(4, F.lit("firm")).alias("notes"), F.lit("medium").alias("confidence")),
     ).alias("items"), F.lit("low").alias("overall_confidence")))
-    rows = table(spark, sf_dir, "customer").select(k.alias("seed"), F.explode(F.array(*[
+    customers = spread(spark, sf_dir, "customer", "c_custkey", "c_name", "c_mktsegment")
+    rows = customers.select(k.alias("seed"), F.explode(F.array(*[
         F.struct(F.lit(t).alias("extraction_type"), F.when(k % 9 != 0, F.when(k % 10 == 0, "{broken").otherwise(j)).alias("response_json"), F.lit(f"m-{t}").alias("model"))
         for t, j in (("overview", over), ("tuition", fees), ("deadlines", due))])).alias("r"))
     return rows.select("seed", "r.*").withColumn("error", F.when(F.col("response_json").isNull(), "timeout"))
 
 
 def _results(spark, sf_dir) -> DataFrame:
-    answers = _responses(spark, sf_dir).cache()
+    answers = _responses(spark, sf_dir)
     asked = answers.select("seed", "extraction_type", F.array(F.concat(F.lit("u"), "seed")).alias("source_urls"), F.lit("").alias("prompt"))
     got = extract.Replay(answers).extract(asked)
     return extract.results(asked, got, answers.select("seed").distinct())

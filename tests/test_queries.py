@@ -6,6 +6,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from lodestone.plans import queries
 from lodestone.plans.registry import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -48,7 +49,7 @@ def test_entry_imports():
 
 
 def test_work_is_spread(spark):
-    """A table of one file is not one task's work: its rows are dealt before pages are made of them."""
+    """A table of one file is not one task's work: its rows are dealt before pages or answers are made of them, nothing is cached."""
     conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "4"}
     before = {k: spark.conf.get(k) for k in conf}
     for k, v in conf.items():
@@ -56,6 +57,9 @@ def test_work_is_spread(spark):
     try:
         made = QUERIES["markdown_plain"](spark, SF).select(F.spark_partition_id().alias("p"), "markdown")
         assert made.select("p").distinct().count() > 1
+        assert queries._responses(spark, SF).select(F.spark_partition_id().alias("p"), "response_json").select("p").distinct().count() > 1
+        for name in ("field_confidence", "item_values", "overview_values", "extraction_meta"):
+            assert "InMemoryRelation" not in QUERIES[name](spark, SF)._jdf.queryExecution().toString()
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
